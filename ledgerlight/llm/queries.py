@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlight.llm.mixing import mix_sources
 from ledgerlight.llm.url_filter import filter_urls, rules_table
+from ledgerlight.llm.decontaminate import digest, find_contamination
+
 from ledgerlight.session import table
 
 #: Fixed by the contract of op2: (host, path, verdict).
@@ -63,12 +65,37 @@ e AS (SELECT doc_id, text, lang, source, n_chars, CAST(unnest(range(0, n)) AS IN
 SELECT *, CAST('0x' || substr(md5('{MIX_SEED}:' || doc_id || ':' || copy), 1, 15) AS BIGINT) AS mix_key FROM e
 """
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+
+OP1_SQL = r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+it AS (SELECT item_id, w, least(len(w), 13) AS n FROM iw WHERE len(w) > 0),
+ix AS (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM it),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM ix),
+lens AS (SELECT DISTINCT n FROM win),
+dx AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, lens WHERE len(w) >= n),
+dg AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM dx),
+hit AS (SELECT doc_id, n, i, item_id FROM dg JOIN win USING (n, g)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, n, i FROM hit)) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ks FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(p.n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(t.n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(t.ks, '')) AS items_sha256, coalesce(p.n_hit, 0) > 0 AND 20 * coalesce(p.n_hit, 0) >= len(d.w) AS contaminated
+FROM dw d LEFT JOIN pos p USING (doc_id) LEFT JOIN its t USING (doc_id)
+"""
+
+
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_url_filter": op2_url_filter,
     "op4_mix_sources": op4_mix_sources,
 }
 
 ORACLES = {
+    "op1_decontaminate": OP1_SQL,
     "op2_url_filter": OP2_SQL,
     "op4_mix_sources": OP4_SQL,
 }
