@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlight.llm.mixing import mix_sources
 from ledgerlight.llm.url_filter import filter_urls, rules_table
 from ledgerlight.llm.decontaminate import digest, find_contamination
 
+from ledgerlight.llm import langid
+
 from ledgerlight.session import table
 
 #: Fixed by the contract of op2: (host, path, verdict).
@@ -88,7 +91,16 @@ FROM dw d LEFT JOIN pos p USING (doc_id) LEFT JOIN its t USING (doc_id)
 """
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = langid.held_out(F.col("doc_id"), 5, 0)
+    model = langid.train(docs.where(~held))
+    return langid.predict(docs.select("doc_id", "text", held.alias("held_out")), model, keep=["doc_id", "held_out"])
+
+
+
 QUERIES = {
+    "op3_language_id": op3_language_id,
     "op1_decontaminate": op1_decontaminate,
     "op2_url_filter": op2_url_filter,
     "op4_mix_sources": op4_mix_sources,
