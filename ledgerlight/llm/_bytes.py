@@ -165,3 +165,47 @@ def winnow(grams: np.ndarray, left: np.ndarray, k: int, width: int) -> np.ndarra
     least[~whole] = 0
     best = sliding(least[::-1], width, np.maximum)[::-1]  # the largest minimum of the windows that hold the position
     return (best == grams) & (left >= k)
+
+
+def hash_order(hashes: np.ndarray) -> np.ndarray:
+    """A stable order that brings equal hashes together (not in full numeric order); sorts, doesn't argsort."""
+    n = len(hashes)
+    if n == 0:
+        return np.zeros(0, np.int64)
+    bits = np.uint64(max(1, (n - 1).bit_length()))
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    packed = np.sort((hashes & ~low) | np.arange(n, dtype=np.uint64))
+    order = (packed & low).astype(np.int64)
+    found = hashes[order]
+    same_prefix = (packed[1:] & ~low) == (packed[:-1] & ~low)
+    if np.any(same_prefix & (found[1:] != found[:-1])):  # rare: different hashes with the same leading bits
+        return np.argsort(hashes, kind="stable")
+    return order
+
+
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal values begins, and how long it is."""
+    if len(values) == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    return first, np.diff(np.append(first, len(values)))
+
+
+def pack(*columns: tuple[str, pa.Array]) -> bytes:
+    """A record batch of those columns as bytes."""
+    batch = pa.RecordBatch.from_arrays([c for _, c in columns], [n for n, _ in columns])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as w:
+        w.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack(blob: bytes) -> pa.Table:
+    return pa.ipc.open_stream(blob).read_all()
+
+
+def block_number(count: int) -> int:
+    """A number for the task's count-th block that no other task of the stage uses."""
+    from pyspark import TaskContext
+
+    return (TaskContext.get().partitionId() << 24) + count

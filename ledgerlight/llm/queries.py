@@ -11,6 +11,8 @@ from ledgerlight.llm.decontaminate import digest, find_contamination
 
 from ledgerlight.llm import langid
 
+from ledgerlight.llm.ngram_join import ngram_groups
+
 from ledgerlight.session import table
 
 #: Fixed by the contract of op2: (host, path, verdict).
@@ -99,7 +101,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+
 QUERIES = {
+    "op8_ngram_join": op8_ngram_join,
     "op3_language_id": op3_language_id,
     "op1_decontaminate": op1_decontaminate,
     "op2_url_filter": op2_url_filter,
