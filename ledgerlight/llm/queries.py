@@ -13,6 +13,8 @@ from ledgerlight.llm import langid
 
 from ledgerlight.llm.ngram_join import ngram_groups
 
+from ledgerlight.llm.lm_score import score_texts
+
 from ledgerlight.session import table
 
 #: Fixed by the contract of op2: (host, path, verdict).
@@ -106,7 +108,16 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = langid.held_out(F.col("doc_id"), 7, 2)
+    scored = score_texts(docs.select("doc_id", "text", (F.col("doc_id").isNotNull() & ~held).alias("train")), train_col="train")
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+
 QUERIES = {
+    "op5_lm_score": op5_lm_score,
     "op8_ngram_join": op8_ngram_join,
     "op3_language_id": op3_language_id,
     "op1_decontaminate": op1_decontaminate,
