@@ -15,6 +15,8 @@ from ledgerlight.llm.ngram_join import ngram_groups
 
 from ledgerlight.llm.lm_score import score_texts
 
+from ledgerlight.llm.suffix_dedup import remove_repeats
+
 from ledgerlight.session import table
 
 #: Fixed by the contract of op2: (host, path, verdict).
@@ -116,7 +118,13 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+
 QUERIES = {
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op5_lm_score": op5_lm_score,
     "op8_ngram_join": op8_ngram_join,
     "op3_language_id": op3_language_id,
