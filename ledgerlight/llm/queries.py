@@ -17,6 +17,8 @@ from ledgerlight.llm.lm_score import score_texts
 
 from ledgerlight.llm.suffix_dedup import remove_repeats
 
+from ledgerlight.llm.token_count import count_tokens, read_pieces
+
 from ledgerlight.session import table
 
 #: Fixed by the contract of op2: (host, path, verdict).
@@ -32,6 +34,9 @@ URL_RULES = [
 MIX_WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 0.5}
 MIX_SEED = 17
 
+#: Where the vocabulary files of public tokenizers are.
+TOKENIZERS = "/opt/tokenizers"
+
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), rules_table(spark, URL_RULES)).drop("n_possible")
@@ -123,7 +128,13 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def op7_token_count(spark: SparkSession, sf_dir: str, model_file: str = f"{TOKENIZERS}/piece_bpe_32k.model") -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), read_pieces(model_file))
+
+
+
 QUERIES = {
+    "op7_token_count": op7_token_count,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op5_lm_score": op5_lm_score,
     "op8_ngram_join": op8_ngram_join,
