@@ -17,20 +17,25 @@ from ledgerlight.operators.graph import components
 from ledgerlight.session import cut
 
 
-def star_pairs(buckets: DataFrame) -> DataFrame:
+def shared_buckets(buckets: DataFrame) -> DataFrame:
+    """(bucket, id, least): the rows of buckets with several ids, and the least of them."""
+    ends = buckets.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    return cut(buckets.join(ends.where("least < most").select("bucket", "least"), "bucket"))
+
+
+def star_pairs(shared: DataFrame) -> DataFrame:
     """Distinct (a, b): the least id of a bucket and each other id of it."""
-    least = buckets.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").select("bucket", "a")
-    return buckets.join(least, "bucket").where("id != a").select("a", F.col("id").alias("b")).distinct()
+    return shared.where("id != least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def rest_pairs(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+def rest_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """Distinct (a, b), a < b: pairs of a bucket from different components, the largest one only against others."""
-    told = buckets.join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("comp"))
+    told = shared.join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("comp"))
     sizes = told.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("bucket").agg(F.count("*").alias("comps"), F.max(F.struct("n", "comp")).alias("top")).where("comps > 1")
     told = told.join(mixed.select("bucket", F.col("top.comp").alias("top")), "bucket")
     minor = told.where("comp != top").select("bucket", F.col("id").alias("m_id"), F.col("comp").alias("m_comp"))
-    pairs = minor.join(told.select("bucket", "id", "comp", "top"), "bucket").where(
+    pairs = minor.join(told, "bucket").where(
         (F.col("comp") != F.col("m_comp")) & ((F.col("comp") == F.col("top")) | (F.col("m_id") < F.col("id")))
     )
     return pairs.select(F.least("m_id", "id").alias("a"), F.greatest("m_id", "id").alias("b")).distinct()
@@ -45,11 +50,13 @@ def linked_groups(
 
     more_orders: further bucket tables; remaining pairs must share a bucket in every one of them.
     """
-    links = cut(verify(star_pairs(buckets)))
+    shared = shared_buckets(buckets)
+    stars = star_pairs(shared)
+    links = cut(verify(stars))
     labels = components(links)
-    rest = rest_pairs(buckets, labels)
+    rest = rest_pairs(shared, labels).join(stars, ["a", "b"], "left_anti")  # those were looked at
     for other in more_orders or []:
-        rest = rest.join(rest_pairs(other, labels), ["a", "b"], "left_semi")
+        rest = rest.join(rest_pairs(shared_buckets(other), labels), ["a", "b"], "left_semi")
     more = cut(verify(rest))
     if more.limit(1).count() == 0:
         return labels

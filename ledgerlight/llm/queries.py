@@ -19,6 +19,8 @@ from ledgerlight.llm.suffix_dedup import remove_repeats
 
 from ledgerlight.llm.token_count import count_tokens, read_pieces
 
+from ledgerlight.llm.line_dedup import dedup_lines
+
 from ledgerlight.session import table
 
 #: Fixed by the contract of op2: (host, path, verdict).
@@ -133,7 +135,13 @@ def op7_token_count(spark: SparkSession, sf_dir: str, model_file: str = f"{TOKEN
 
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+
+
+
 QUERIES = {
+    "op9_line_dedup": op9_line_dedup,
     "op7_token_count": op7_token_count,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op5_lm_score": op5_lm_score,
