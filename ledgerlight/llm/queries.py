@@ -21,6 +21,8 @@ from ledgerlight.llm.token_count import count_tokens, read_pieces
 
 from ledgerlight.llm.line_dedup import dedup_lines
 
+from ledgerlight.llm.ann import search
+
 from ledgerlight.session import table
 
 #: Fixed by the contract of op2: (host, path, verdict).
@@ -140,7 +142,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+
 QUERIES = {
+    "op10_ann": op10_ann,
     "op9_line_dedup": op9_line_dedup,
     "op7_token_count": op7_token_count,
     "op6_suffix_dedup": op6_suffix_dedup,
