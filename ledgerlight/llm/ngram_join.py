@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +38,7 @@ from ledgerlight.session import cut, shuffle_width
 K, PERCENT = 5, 75
 REST_BITS = 28
 ALONE = 0xFFFF
-BLOCK_TOKENS, BLOCK_DOCS = 4 << 20, 60_000
+BLOCK_TOKENS, BLOCK_DOCS = 1 << 20, 60_000
 COMMON_FROM = 8
 
 
@@ -267,7 +267,7 @@ def _prefixes(docs: DataFrame, keys: np.ndarray, levels: np.ndarray, k: int, per
     return docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(run, schema)
 
 
-def _verifier(sets: DataFrame, percent: int):
+def _verifier(sets: DataFrame, near, percent: int):
     """Keeps the pairs of which percent * union <= 100 * intersection."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,9 +282,11 @@ def _verifier(sets: DataFrame, percent: int):
 
     def verify(pairs: DataFrame) -> DataFrame:
         kind = pairs.schema["a"].dataType
-        sized = pairs.join(sets.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(sets.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
-        near = sized.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b")
-        full = near.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta")), "a").join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb")), "b")
+        side = lambda x: sets.select(*[F.col(c).alias(f"{x}_{c}") for c in ("id", "n", "shared")])
+        sized = pairs.join(side("x"), F.col("a") == F.col("x_id")).join(side("y"), F.col("b") == F.col("y_id"))
+        alike = F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent
+        close = sized.where(near("x_", "y_") & alike).select("a", "b")
+        full = close.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta")), "a").join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb")), "b")
         return full.select("a", "b", "ta", "tb").mapInArrow(run, T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
 
     return verify
@@ -320,9 +322,18 @@ def ngram_groups(
     while bits < max_bloom_bits and bits < 16 * wanted:
         bits *= 2
     sets = _prefixes(docs, bloom_of(asked, bits), _classes(answers, cells), k, percent, orders)
-    sets = cut(sets.join(equal.select(F.col("rep").alias("id"), F.col("n").alias("n_rep")), "id").where("n = n_rep").drop("n_rep").dropDuplicates(["id"]))
-    buckets = [sets.select(F.explode(f"p{j}").alias("bucket"), "id") for j in range(orders)]
-    groups = linked_groups(buckets[0], _verifier(sets, percent), buckets[1:])
+    sets = cut(sets.join(equal.select(F.col("rep").alias("id"), F.col("n").alias("n_rep"), "shared"), "id").where("n = n_rep").drop("n_rep").dropDuplicates(["id"]))
+    buckets = [sets.select(F.posexplode(f"p{j}").alias("pos", "bucket"), "id") for j in range(orders)]
+    facts = sets.select("id", (F.col("n") - F.col("shared")).alias("w"), "n", "shared")
+    total = lambda p, q: (F.col(f"{p}n") + F.col(f"{q}n")) * percent  # noqa: E731  / (100 + percent): the least overlap
+    near = lambda p, q: F.least(f"{p}shared", f"{q}shared") * (100 + percent) >= total(p, q)
+
+    def near_in_order(p: str, q: str) -> Column:
+        """Before the first common token none is common, and of what follows at most the shorter rest."""
+        rest = F.least(F.col(f"{p}n") - F.col(f"{p}pos"), F.col(f"{q}n") - F.col(f"{q}pos"))
+        return near(p, q) & (rest * (100 + percent) >= total(p, q))
+
+    groups = linked_groups(buckets[0], facts, near_in_order, _verifier(sets, near, percent), buckets[1:])
     named = equal.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select(
         F.col("n").alias("en"), F.col("sig1").alias("e1"), F.col("sig2").alias("e2"), F.coalesce("component", "rep").alias("component"), "n_equal"
     )
