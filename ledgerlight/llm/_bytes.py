@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 _rng = np.random.default_rng(20240229)
 _RANDOM = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)

@@ -39,7 +39,11 @@ from ledgerlight.session import shuffle_width
 
 DISCOUNT = 0.5
 END, BEGIN = np.uint64(0xE4D0F7E4D0F7E4D1), np.uint64(0xBE6150BE6150BE61)
-BLOCK_TOKENS, BLOCK_DOCS = 4 << 20, 60_000
+BLOCK_TOKENS, BLOCK_DOCS = 3 << 19, 60_000
+
+
+def _squeeze(a: np.ndarray) -> bytes:
+    return pa.compress(a.tobytes(), "zstd", asbytes=True)
 
 
 def _low32(h: np.ndarray) -> np.ndarray:
@@ -114,9 +118,13 @@ def _asks(docs: DataFrame, hot: np.ndarray, shards: int) -> DataFrame:
         train = np.concatenate(held)
         order = B.hash_order(tokens)
         first, size = B.runs(tokens[order])
-        words = tokens[order][first]
+        # the more frequent a word, the smaller its number, so that the stream of numbers packs well
+        by_size = np.argsort(-size, kind="stable")
+        words = tokens[order][first][by_size]
+        rank = np.empty(len(words), np.int64)
+        rank[by_size] = np.arange(len(words))
         index = np.empty(len(tokens), np.int64)
-        index[order] = np.repeat(np.arange(len(first)), size)
+        index[order] = np.repeat(rank, size)
         learned = np.repeat(train, np.diff(ends, prepend=0))
         counts = np.bincount(index, weights=learned, minlength=len(words)).astype(np.uint32)
         grams = Bigrams(words, index, ends, hot, shards)
@@ -129,12 +137,9 @@ def _asks(docs: DataFrame, hot: np.ndarray, shards: int) -> DataFrame:
         by_home = np.argsort(home, kind="stable")
         home_edges = np.searchsorted(home[by_home], np.arange(shards + 1))
         block = B.block_number(number)
-        # the more frequent a word, the smaller its kept number, so that the stream packs well
-        rank = np.empty(len(words), np.uint32)
-        rank[np.argsort(-size, kind="stable")] = np.arange(len(words))
-        stream = rank[index]
-        planes = (stream & 0xFFFF).astype(np.uint16), (stream >> 16).astype(np.uint16)
-        state = pickle.dumps((words, rank, planes, ends, train), 5)
+        stream = index.astype(np.uint32)
+        planes = [_squeeze((stream >> np.uint32(8 * i)).astype(np.uint8)) for i in range(4)]
+        state = pickle.dumps((words, len(stream), planes, ends, train), 5)
         yield block % shards, block, 0, state, B.pack(("id", pa.concat_arrays(ids)))
         for s in range(shards):
             w = by_home[home_edges[s] : home_edges[s + 1]]
@@ -235,13 +240,13 @@ def _scores(answers: DataFrame, hot: np.ndarray, shards: int, discount: float, k
         for k, payload, book in zip(table["kind"].to_pylist(), table["payload"], table["book"].to_pylist(), strict=True):
             x = pickle.loads(payload.as_buffer())
             if k == 0:
-                words, rank, planes, ends, train = x
+                words, length, planes, ends, train = x
                 ids = B.unpack(book)["id"].combine_chunks()
             else:
                 got[x[0]] = x[1:]
-        back = np.empty(len(rank), np.int64)
-        back[rank] = np.arange(len(rank))
-        index = back[planes[0].astype(np.int64) | (planes[1].astype(np.int64) << 16)]
+        index = np.zeros(length, np.int64)
+        for i, plane in enumerate(planes):
+            index |= np.frombuffer(pa.decompress(plane, length, "zstd", asbytes=True), np.uint8).astype(np.int64) << (8 * i)
         grams = Bigrams(words, index, ends, hot, shards)
         home = _home(words, shards)
         by_home = np.argsort(home, kind="stable")
