@@ -22,6 +22,7 @@ are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -182,7 +183,7 @@ def search(
     norms = rows.select(F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x * x).alias("n2")).agg(F.max("n2"), F.avg("n2")).first()
     top, mean = norms[0] or 1.0, norms[1] or 1.0
     turned = Orderings(dim, orderings, float(np.sqrt(mean / max(1, dim))), float(np.sqrt(top)), seed)
-    blocks = max(40, -(-n // block_rows))
+    blocks = max(1, min(max(40, -(-n // block_rows)), n // 32))
     # block boundaries from a bounded sample of keys: the smallest hashes, about `sample` of them
     picked = base.where(F.pmod(F.xxhash64("key", F.lit(3)), F.lit(1 << 20)) < int(min(1.0, sample / max(1, n)) * (1 << 20)))
     got = picked.select("key", "vector").toArrow()
@@ -192,7 +193,7 @@ def search(
     for keys in turned.keys(x, False) if len(x) else np.zeros((orderings, 0), np.int64):
         pairs = np.sort(np.rec.fromarrays([keys, got["key"].to_numpy()], dtype=kind)) if len(keys) else np.zeros(0, kind)
         bounds.append(pairs[(np.arange(1, blocks) * len(pairs)) // blocks] if len(pairs) else np.zeros(0, kind))
-    plan = spark.sparkContext.broadcast((turned, bounds, blocks, max(1, round(reach * blocks))))
+    plan = spark.sparkContext.broadcast((turned, bounds, blocks, max(1, math.ceil(reach * blocks - 1e-9))))
     asked = rows.where("asked").select(F.col("id").alias("query_id"), "vector")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
