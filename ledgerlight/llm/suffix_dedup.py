@@ -5,7 +5,7 @@ further ahead in the same one. The strings (windows) are all suffixes cut to tha
 stand together once suffixes are sorted. Sorting is spread out by content:
 
 1. A window belongs to its anchor, the least hash of its `gram`-byte grams; equal windows have equal anchors at equal
-   offsets. Blocks of documents ask shards, a few bytes for each distinct anchor, which anchors occur elsewhere too.
+   offsets. Documents are dealt out to blocks, by a shuffle that all steps use. Blocks ask shards, a few bytes for each distinct anchor, which anchors occur elsewhere too.
 2. Runs of consecutive windows of one repeated anchor go to the anchor's shard as one short string. Within a block
    equal strings go once: the first one, while later ones are thereby known to repeat. A passage that a third of all
    documents share costs one string for each block.
@@ -15,8 +15,6 @@ stand together once suffixes are sorted. Sorting is spread out by content:
    so that a collision of hashes can't remove anything. All but the first of equal windows are told to their block.
 4. Blocks mark the bytes and hash what is left.
 
-Texts travel packed with zstd; those of documents without a repeated anchor are finished in step 2.
-
 Edge cases: null and empty texts have 0 bytes; texts shorter than `length` are never touched; rows that share a
 doc_id each get a result row, and as none of them is earlier than the other, they don't remove each other's bytes;
 null doc_id counts as the largest id; empty tables give empty results; ids are integers; further columns are ignored.
@@ -38,7 +36,9 @@ from ledgerlight.llm import _bytes as B
 from ledgerlight.session import shuffle_width
 
 LENGTH, GRAM = 100, 24
-BLOCK_BYTES, BLOCK_DOCS = 32 << 20, 60_000
+BLOCK_BYTES = 16 << 20
+PIECE_BYTES = 1 << 20
+PART_BYTES = 2 << 20
 PLACE_BITS = 28
 LAST = np.iinfo(np.int64).max
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -148,7 +148,7 @@ def suffix_sort(data: np.ndarray, sums: np.ndarray, place: np.ndarray, bucket: n
 def _equal_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Whether the spans at a and b have the same bytes."""
     out = np.ones(len(a), bool)
-    step = 1 << 16
+    step = 1 << 13
     for i in range(0, len(a), step):
         s = size[i : i + step]
         differ = gather(data, a[i : i + step], s) != gather(data, b[i : i + step], s)
@@ -158,9 +158,9 @@ def _equal_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarra
     return out
 
 
-def first_of_equal(data: np.ndarray, sums: np.ndarray, start: np.ndarray, size: np.ndarray, extra: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """For each span the index of the span of least rank with the same bytes and extra value."""
-    key = B.mix(_spans_hash(sums, start, start + size) ^ B.mix(size.astype(np.uint64) + extra))
+def first_of_equal(data: np.ndarray, hashes: np.ndarray, start: np.ndarray, size: np.ndarray, extra: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """For each span, given with its hash, the index of the span of least rank with the same bytes and extra value."""
+    key = B.mix(hashes ^ B.mix(size.astype(np.uint64) + extra))
     order = np.lexsort((rank, key))
     first, count = B.runs(key[order])
     out = np.empty(len(start), np.int64)
@@ -182,7 +182,7 @@ def repeated_windows(data: np.ndarray, size: np.ndarray, anchor: np.ndarray, off
     rank = np.empty(len(size), np.int64)
     by_place = np.lexsort((start, doc))
     rank[by_place] = np.arange(len(size))
-    chief = first_of_equal(data, sums, base, size, offset.astype(np.uint64) ^ anchor, rank)
+    chief = first_of_equal(data, _spans_hash(sums, base, base + size), base, size, offset.astype(np.uint64) ^ anchor, rank)
     later = (doc[chief] < doc) | ((doc[chief] == doc) & (start[chief] < start))
     windows = size - length + 1
     whole = np.flatnonzero(later)
@@ -225,9 +225,17 @@ def repeated_windows(data: np.ndarray, size: np.ndarray, anchor: np.ndarray, off
         fresh = np.ones(len(string), bool)
         fresh[1:] = (string[1:] != string[:-1]) | (step[1:] != step[:-1] + 1)
         begin = np.flatnonzero(fresh)
-        finish = np.append(begin[1:], len(string)) - 1
+        finish = np.append(begin, len(string))[1:] - 1
         out.append((string[begin], step[begin], step[finish]))
-    return tuple(np.concatenate([x[i] for x in out]) for i in range(3))
+    string, begin, finish = (np.concatenate([x[i] for x in out]) for i in range(3))
+    # equal strings from the same place (rows that share an id) fare alike
+    same = np.flatnonzero((chief != np.arange(len(size))) & ~later)
+    if len(same):
+        order = np.argsort(string, kind="stable")
+        lo, hi = (np.searchsorted(string[order], chief[same], side) for side in ("left", "right"))
+        copy = order[np.repeat(lo - (np.cumsum(hi - lo) - (hi - lo)), hi - lo) + np.arange((hi - lo).sum())]
+        string, begin, finish = np.append(string, np.repeat(same, hi - lo)), np.append(begin, begin[copy]), np.append(finish, finish[copy])
+    return string, begin, finish
 
 
 def _table(rows: list[tuple]) -> pa.Table:
@@ -255,54 +263,38 @@ def _by_shard(anchors: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def _all_runs(data: np.ndarray, offs: np.ndarray, length: int, gram: int) -> Iterator[tuple[int, Runs]]:
-    for a, b in B.pieces(offs):
+    for a, b in B.pieces(offs, PIECE_BYTES):
         yield int(offs[a]), Runs(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a], length, gram)
 
 
-def _first_asks(docs: DataFrame, length: int, gram: int, shards: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, texts, sizes, ids, held = 0, [], [], [], 0
+def _laid_out(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's ids, bytes and offsets, in an order that doesn't depend on how its rows came together."""
+    table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    data, offs = B.text_bytes(table["text"])
+    return table["doc_id"].combine_chunks().fill_null(LAST).to_numpy(), data, offs
 
-        def out() -> Iterator[pa.RecordBatch]:
-            data, size = np.concatenate(texts), np.concatenate(sizes)
-            offs = np.concatenate([[0], np.cumsum(size)])
-            block = B.block_number(number)
-            anchors = np.concatenate([r.anchor for _, r in _all_runs(data, offs, length, gram)] or [np.zeros(0, np.uint64)])
-            distinct, count, edges = _by_shard(anchors, shards)
-            rows = [(block % shards, block, 0, pickle.dumps((np.concatenate(ids), size, _packed(data)), 5))]
-            for s in range(shards):
-                a, b = edges[s], edges[s + 1]
-                if b > a:
-                    rows.append((s, block, 1, pickle.dumps(((distinct[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32), np.packbits(count[a:b] > 1)), 5)))
-            yield from _table(rows).to_batches(max_chunksize=16)
-
-        for batch in batches:
-            data, offs = B.text_bytes(batch.column(1))
-            key = batch.column(0).fill_null(LAST).to_numpy()
-            for a, b in B.pieces(offs, BLOCK_BYTES // 4):
-                if texts and (held + offs[b] - offs[a] > BLOCK_BYTES or sum(map(len, ids)) + b - a > BLOCK_DOCS):
-                    yield from out()
-                    number, texts, sizes, ids, held = number + 1, [], [], [], 0
-                texts.append(data[offs[a] : offs[b]].copy())
-                sizes.append(np.diff(offs[a : b + 1]))
-                ids.append(key[a:b])
-                held += int(offs[b] - offs[a])
-        if texts:
-            yield from out()
-
-    return docs.mapInArrow(run, MESSAGE)
+
+def _first_asks(blocks: DataFrame, length: int, gram: int, shards: int) -> DataFrame:
+    def run(table: pa.Table) -> pa.Table:
+        block = table["block"][0].as_py()
+        _, data, offs = _laid_out(table)
+        anchors = np.concatenate([r.anchor for _, r in _all_runs(data, offs, length, gram)] or [np.zeros(0, np.uint64)])
+        distinct, count, edges = _by_shard(anchors, shards)
+        rows = []
+        for s in range(shards):
+            a, b = edges[s], edges[s + 1]
+            if b > a:
+                rows.append((s, block, 1, pickle.dumps(((distinct[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32), np.packbits(count[a:b] > 1)), 5)))
+        return _table(rows)
+
+    return blocks.groupBy("block").applyInArrow(run, MESSAGE)
 
 
 def _first_answers(asks: DataFrame) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         shard = table["shard"][0].as_py()
-        out, blocks, asked = [], [], []
-        for block, kind, payload in zip(table["block"].to_pylist(), table["kind"].to_pylist(), table["payload"], strict=True):
-            if kind == 0:
-                out.append((shard, block, 0, payload.as_py()))
-            else:
-                blocks.append(block)
-                asked.append(pickle.loads(payload.as_buffer()))
+        out, blocks = [], table["block"].to_pylist()
+        asked = [pickle.loads(payload.as_buffer()) for payload in table["payload"]]
         if asked:
             values = np.concatenate([x[0] for x in asked])
             many = np.concatenate([np.unpackbits(x[1], count=len(x[0])).astype(bool) for x in asked])
@@ -322,13 +314,13 @@ def _first_answers(asks: DataFrame) -> DataFrame:
 
 def _finish(data: np.ndarray, offs: np.ndarray, spans: np.ndarray) -> list[tuple[int, int, str]]:
     """(n_removed, n_spans, hash of what is left) of each text, given covered (start, end) byte ranges."""
-    cover = np.zeros(len(data) + 1, np.int64)
-    np.add.at(cover, spans[:, 0], 1)
-    np.add.at(cover, spans[:, 1], -1)
-    gone = np.cumsum(cover)[:-1] > 0
+    spans = spans[np.argsort(spans[:, 0], kind="stable")]
+    edges = np.searchsorted(spans[:, 0], offs)
     out = []
-    for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
-        g, d = gone[a:b], data[a:b]
+    for i, (a, b) in enumerate(zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)):
+        own = spans[edges[i] : edges[i + 1]] - a
+        cover = np.bincount(own[:, 0], minlength=b - a + 1) - np.bincount(own[:, 1], minlength=b - a + 1)
+        g, d = np.cumsum(cover)[:-1] > 0, data[a:b]
         n = int(g.sum())
         if n:
             spans_n = int(g[0]) + int((g[1:] & ~g[:-1]).sum())
@@ -338,17 +330,13 @@ def _finish(data: np.ndarray, offs: np.ndarray, spans: np.ndarray) -> list[tuple
     return out
 
 
-def _second_asks(answers: DataFrame, length: int, gram: int, shards: int) -> DataFrame:
-    def run(table: pa.Table) -> pa.Table:
+def _second_asks(blocks: DataFrame, answers: DataFrame, length: int, gram: int, shards: int) -> DataFrame:
+    def run(table: pa.Table, told: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _table([])
         block = table["block"][0].as_py()
-        flags = {}
-        for s, kind, payload in zip(table["shard"].to_pylist(), table["kind"].to_pylist(), table["payload"], strict=True):
-            if kind == 0:
-                ids, size, packed = pickle.loads(payload.as_buffer())
-            else:
-                flags[s] = np.frombuffer(payload.as_buffer(), np.uint8)
-        data = _unpacked(packed)
-        offs = np.concatenate([[0], np.cumsum(size)])
+        flags = {s: np.frombuffer(payload.as_buffer(), np.uint8) for s, payload in zip(told["shard"].to_pylist(), told["payload"], strict=True)}
+        ids, data, offs = _laid_out(table)
         found = list(_all_runs(data, offs, length, gram))
         anchors = np.concatenate([r.anchor for _, r in found] or [np.zeros(0, np.uint64)])
         distinct, _, edges = _by_shard(anchors, shards)
@@ -364,46 +352,30 @@ def _second_asks(answers: DataFrame, length: int, gram: int, shards: int) -> Dat
                 keep = hot[slot] == r.anchor
             first, last = r.first[keep], r.last[keep]
             parts.append((first + at, last - first + length, r.at[keep] - first, r.anchor[keep], B.mix(_spans_hash(r.sums, first, last + length))))
-        begin, span, offset, anchor, _ = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(5))
+        begin, span, offset, anchor, content = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(5))
         owner = np.searchsorted(offs, begin, "right") - 1
         inside = begin - offs[owner]
         doc = ids[owner] if len(owner) else np.zeros(0, np.int64)
         local = np.zeros((0, 2), np.int64)
         sent = np.zeros(0, np.int64)
         if len(begin):
-            text = gather(data, begin, span)
-            base = np.cumsum(span) - span
             rank = np.empty(len(begin), np.int64)
             rank[np.lexsort((inside, doc))] = np.arange(len(begin))
-            chief = first_of_equal(text, prefix_hashes(text), base, span, anchor.astype(np.uint64) ^ offset.astype(np.uint64), rank)
+            chief = first_of_equal(data, content, begin, span, anchor.astype(np.uint64) ^ offset.astype(np.uint64), rank)
             later = (doc[chief] < doc) | ((doc[chief] == doc) & (inside[chief] < inside))
             local = np.stack([begin[later], begin[later] + span[later]], axis=1)
             sent = np.flatnonzero(~later)  # the first ones, and equal ones of rows with the same id
         home = ((anchor[sent].astype(np.uint64) >> np.uint64(33)) % np.uint64(shards)).astype(np.uint32)
         order = np.argsort(home, kind="stable")
         sent, at = sent[order], np.searchsorted(home[order], np.arange(shards + 1))
-        touched = np.zeros(len(ids), bool)
-        touched[owner[sent]] = True
-        if len(local):
-            touched[np.searchsorted(offs, local[:, 0], "right") - 1] = True
-        quiet = np.flatnonzero(~touched)
-        done = [(0, 0, hashlib.sha256(data[offs[i] : offs[i + 1]].tobytes()).hexdigest()) for i in quiet.tolist()]
-        busy = np.flatnonzero(touched)
-        # what goes on: the touched texts alone, with places moved accordingly
-        moved = np.full(len(ids), 0, np.int64)
-        new_offs = np.concatenate([[0], np.cumsum(size[busy])])
-        moved[busy] = new_offs[:-1] - offs[:-1][busy]
-        shift = lambda x: x + moved[np.searchsorted(offs, x, "right") - 1]
-        local_new = np.stack([shift(local[:, 0]), shift(local[:, 0]) + local[:, 1] - local[:, 0]], axis=1) if len(local) else local
-        state = (ids[quiet], size[quiet], done, ids[busy], size[busy], _packed(gather(data, offs[:-1][busy], size[busy])), local_new, shift(begin[sent]) if len(sent) else sent, at)
-        rows = [(block % shards, block, 0, pickle.dumps(state, 5))]
+        rows = [(block % shards, block, 0, pickle.dumps((local, begin[sent], at), 5))]
         for s in range(shards):
             g = sent[at[s] : at[s + 1]]
             if len(g):
                 rows.append((s, block, 1, pickle.dumps((_packed(gather(data, begin[g], span[g])), span[g].astype(np.int32), anchor[g], offset[g].astype(np.int32), doc[g], inside[g].astype(np.int32)), 5)))
         return _table(rows)
 
-    return answers.groupBy("block").applyInArrow(run, MESSAGE)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, MESSAGE)
 
 
 def _second_answers(asks: DataFrame, length: int) -> DataFrame:
@@ -419,7 +391,18 @@ def _second_answers(asks: DataFrame, length: int) -> DataFrame:
         if asked:
             data = np.concatenate([_unpacked(x[0]) for x in asked])
             cols = [np.concatenate([x[i] for x in asked]) for i in range(1, 6)]
-            string, first, last = repeated_windows(data, cols[0].astype(np.int64), cols[1].astype(np.uint64), cols[2].astype(np.int64), cols[3], cols[4].astype(np.int64), length)
+            size, anchor, offset = cols[0].astype(np.int64), cols[1].astype(np.uint64), cols[2].astype(np.int64)
+            # anchors are independent of each other, so that a part of them at a time bounds the memory
+            base, parts = np.cumsum(size) - size, 1 + len(data) // PART_BYTES
+            part = (anchor >> np.uint64(5)) % np.uint64(parts)
+            found = []
+            for j in range(parts):
+                rows = np.flatnonzero(part == j)
+                if len(rows):
+                    own = gather(data, base[rows], size[rows])
+                    got = repeated_windows(own, size[rows], anchor[rows], offset[rows], cols[3][rows], cols[4][rows].astype(np.int64), length)
+                    found.append((rows[got[0]], got[1], got[2]))
+            string, first, last = (np.concatenate([x[i] for x in found]) for i in range(3))
             edges = np.cumsum([0, *(len(x[1]) for x in asked)])
             of = np.searchsorted(edges, string, "right") - 1
             order = np.argsort(of, kind="stable")
@@ -434,33 +417,31 @@ def _second_answers(asks: DataFrame, length: int) -> DataFrame:
     return asks.groupBy("shard").applyInArrow(run, MESSAGE)
 
 
-def _results(answers: DataFrame, length: int) -> DataFrame:
-    def run(table: pa.Table) -> pa.Table:
-        got = {}
-        for s, kind, payload in zip(table["shard"].to_pylist(), table["kind"].to_pylist(), table["payload"], strict=True):
+def _results(blocks: DataFrame, answers: DataFrame, length: int) -> DataFrame:
+    def run(table: pa.Table, told: pa.Table) -> pa.Table:
+        ids, data, offs = _laid_out(table)
+        spans, got, begin, at = [np.zeros((0, 2), np.int64)], {}, None, None
+        for s, kind, payload in zip(told["shard"].to_pylist(), told["kind"].to_pylist(), told["payload"], strict=True):
             x = pickle.loads(payload.as_buffer())
             if kind == 0:
-                quiet, quiet_size, done, busy, size, packed, local, begin, at = x
+                local, begin, at = x
+                spans.append(local)
             else:
                 got[s] = x
-        data = _unpacked(packed)
-        offs = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-        spans = [local]
         for s, (string, first, last) in got.items():
             base = begin[at[s] + string]
             spans.append(np.stack([base + first, base + last + length], axis=1))
-        result = done + _finish(data, offs, np.concatenate(spans).astype(np.int64))
-        ids = np.concatenate([quiet, busy])
+        result = _finish(data, offs, np.concatenate(spans).astype(np.int64))
         return pa.table(
             [
-                pa.array(ids, pa.int64(), mask=ids == LAST), pa.array(np.concatenate([quiet_size, size]), pa.int64()), pa.array([r[0] for r in result], pa.int64()),
+                pa.array(ids, pa.int64(), mask=ids == LAST), pa.array(np.diff(offs), pa.int64()), pa.array([r[0] for r in result], pa.int64()),
                 pa.array([r[1] for r in result], pa.int64()), pa.array([r[2] for r in result], pa.string()),
             ],
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
         )
 
     schema = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return answers.groupBy("block").applyInArrow(run, schema)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -469,7 +450,11 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     B.small_batches(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shards = 2 * shuffle_width(spark)
-    answers = _first_answers(_first_asks(docs, length, gram, shards))
-    answers = _second_answers(_second_asks(answers, length, gram, shards), length)
-    out = _results(answers, length)
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = max(shuffle_width(spark), -(-total // BLOCK_BYTES))
+    # a document's block depends on the document alone, so that a task that is run again makes the same blocks
+    blocks = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)).alias("block"), "doc_id", "text")
+    answers = _first_answers(_first_asks(blocks, length, gram, shards))
+    answers = _second_answers(_second_asks(blocks, answers, length, gram, shards), length)
+    out = _results(blocks, answers, length)
     return out.withColumnRenamed("doc_id", id_col) if id_col != "doc_id" else out
