@@ -236,3 +236,22 @@ SELECT count(*) FILTER (WHERE n.item_ref IS NOT NULL) AS seen, count(*) FILTER (
     "t35_week_label": "SELECT DISTINCT @week(validity_from) AS label FROM document WHERE validity_from IS NOT NULL",
     "t36_filename_rules": "SELECT page_id, CASE WHEN @matches(url, '[.]html$') THEN 'page' WHEN @matches(url, '[?]') THEN 'query' ELSE 'folder' END AS kind, @extract(url, '/(en|de|fr|es)/', 1) AS companion FROM pages",
 }
+
+_HEAD, _, _TAIL = SQL["q25_item_completeness"].rpartition("\nSELECT item_ref, doc, state")
+SQL |= {
+    "q26_maker_completeness": f"""{_HEAD},
+card AS (SELECT item_ref, doc, state{_TAIL})
+SELECT i.manufacturer_raw, count(*) FILTER (WHERE c.bucket = 'held') AS held, count(*) FILTER (WHERE c.bucket = 'attention') AS attention, count(*) FILTER (WHERE c.bucket = 'lapsed') AS lapsed, count(*) FILTER (WHERE c.bucket = 'none') AS none_n
+FROM card c JOIN item i ON i.item_ref = c.item_ref GROUP BY 1""",
+    "q34_upload_outcomes": """
+WITH RECURSIVE walk(id, root) AS (SELECT id, id FROM job WHERE caused_by IS NULL UNION ALL SELECT j.id, w.root FROM job j JOIN walk w ON j.caused_by = w.id),
+last AS (SELECT root, max(id) AS last_id, count(*) AS steps FROM walk GROUP BY 1)
+SELECT l.root, l.steps, j.type AS last_type, CASE WHEN j.status = 'dead' THEN 'failed' WHEN j.status = 'done' THEN 'finished' ELSE 'under way' END AS outcome FROM last l JOIN job j ON j.id = l.last_id""",
+    "t10_parse_printed_date": """
+WITH s AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN CAST(1 + doc_id % 31 AS STRING) || '.' || CAST(1 + doc_id % 12 AS STRING) || '.1997' WHEN 1 THEN '1997-0' || CAST(1 + doc_id % 9 AS STRING) || '-15' WHEN 2 THEN 'May ' || CAST(1 + doc_id % 40 AS STRING) || ', 1998' ELSE 'undated' END AS printed FROM document)
+SELECT doc_id, printed, coalesce(@date(nullif(@extract(printed, '^([0-9]{4}-[0-9]{2}-[0-9]{2})$', 1), '')),
+  @date(nullif(@extract(printed, '([0-9]{4})$', 1) || '-' || lpad(@extract(printed, '^[0-9]{1,2}[.]([0-9]{1,2})[.]', 1), 2, '0') || '-' || lpad(@extract(printed, '^([0-9]{1,2})[.]', 1), 2, '0'), '')),
+  @date(CASE WHEN @matches(printed, '^May [0-9]{1,2}, [0-9]{4}$') THEN @extract(printed, '([0-9]{4})$', 1) || '-05-' || lpad(@extract(printed, '^May ([0-9]{1,2})', 1), 2, '0') END)) AS parsed FROM s""",
+    "t14_renewal_period": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN @week(validity_from) ELSE CAST(extract(YEAR FROM validity_from) AS STRING) || '-P' || lpad(CAST(CAST(floor((extract(DOY FROM validity_from) - 1) / 10) AS BIGINT) AS STRING), 3, '0') END AS period FROM document WHERE validity_from IS NOT NULL",
+    "t21_page_numbers": "SELECT page_id, url || '&p=' || CAST(n AS STRING) AS page_url FROM (SELECT page_id, url, @explode(@range(1, CAST(1 + page_id % 4 AS INT))) AS n FROM pages WHERE contains(url, '?')) x",
+}
