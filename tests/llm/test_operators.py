@@ -294,7 +294,7 @@ def test_line_dedup(docs, rows, empty, spark):
     out = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs.withColumn("n_lines", F.lit(1)), counts=True).collect()}
     lines = line_dedup._lines(docs, "doc_id", "text", 3).collect()
     text = {d: (t or "").split("\n") for d, t, *_ in rows}
-    form = lambda s: re.sub(r"\d+", "0", re.sub(r"[\W_]+", " ", s.lower())).strip()
+    form = lambda s: re.sub(r"[0-9]+", "0", re.sub(r"[\W_]+", " ", s.lower())).strip()
     first = {}
     for r in sorted(lines, key=lambda r: (r["doc"], r["pos"])):
         first.setdefault(r["id"], (r["doc"], r["pos"], r["sig"]))
