@@ -360,3 +360,32 @@ def test_hilbert_keys_are_a_curve():
     assert sorted(keys) == list(range(512))
     walk = grid[np.argsort(keys)]
     assert (np.abs(np.diff(walk, axis=0)).sum(1) == 1).all()
+
+
+def test_line_dedup_finds_similar_lines(spark):
+    """Pairs of similar lines by edit distance alone, whatever their signatures."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
+    words = [word() for _ in range(400)]
+    rows = []
+    for i in range(60):
+        line = [rng.choice(words) for _ in range((4, 12, 30, 60)[i % 4])]
+        copy = list(line)
+        for _ in range(len(line) // 10 + (len(line) > 4)):
+            copy[rng.randrange(len(copy))] = rng.choice(words)
+        if len(line) == 4:
+            copy[1] += "x"
+        rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(copy))]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    similar = {b for (_, s), (b, t) in zip(rows[::2], rows[1::2], strict=True) if distance(s, t) <= 0.25 * max(len(s), len(t))}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = {r["doc_id"] for r in line_dedup.dedup_lines(df, counts=True, min_hash=True).where("n_removed = 1").collect()}
+    assert len(similar) >= 45 and gone <= similar and len(gone) >= 0.95 * len(similar)
