@@ -138,7 +138,7 @@ def op7_token_count(spark: SparkSession, sf_dir: str, model_file: str = f"{TOKEN
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True, min_hash=True)
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True, min_hash=True, min_words=1)
 
 
 

@@ -389,3 +389,14 @@ def test_line_dedup_finds_similar_lines(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     gone = {r["doc_id"] for r in line_dedup.dedup_lines(df, counts=True, min_hash=True).where("n_removed = 1").collect()}
     assert len(similar) >= 45 and gone <= similar and len(gone) >= 0.95 * len(similar)
+
+
+def test_line_dedup_query_takes_short_lines(spark, tmp_path):
+    """Lines of one and two words, of scripts without spaces too; lines without letters and digits stay."""
+    from ledgerlight.llm.queries import op9_line_dedup
+
+    lines = ["Home", "next page", "東京都は日本の首都であり世界最大級の都市圏を形成しています", "---", ""]
+    near = ["home", "Next, page!", "東京都は日本の首都であり世界最大級の都市圏を形成していまず", "---", ""]
+    spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(near))], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: (r["text"], r["n_removed"]) for r in op9_line_dedup(spark, str(tmp_path)).collect()}
+    assert out == {1: ("\n".join(lines), 0), 2: ("---\n", 3)}
