@@ -135,7 +135,7 @@ class Trie:
 
     def __init__(self, context: np.ndarray, word: np.ndarray, logs: np.ndarray, contexts: int, folder: str | None = None):
         """context, word: distinct pairs in order; context ranks are below `contexts`; logs: log10 values of them."""
-        self.quantiser = Quantiser()
+        self.quantiser = Quantiser(min(-1.0, float(logs.min())) if len(logs) else -1.0)  # nothing is clipped
         self.words = np.unique(word)
         number = np.searchsorted(self.words, word).astype(np.uint64)
         counts = np.bincount(context, minlength=contexts)

@@ -219,6 +219,7 @@ def _answers(asks: DataFrame, hot: np.ndarray, discount: float) -> DataFrame:
             codes = np.zeros(len(context), np.uint8)
             for a in range(0, len(context), 1 << 18):
                 codes[a : a + (1 << 18)] = trie.lookup(context[a : a + (1 << 18)], word[a : a + (1 << 18)])
+            floor = trie.quantiser.least
             del trie
         n, v = int(count.sum()), int((count > 0).sum())
         at_word = at_cold = 0
@@ -227,7 +228,7 @@ def _answers(asks: DataFrame, hot: np.ndarray, discount: float) -> DataFrame:
             mine = rank[at_word : at_word + len(x[0])]
             cold, warm = codes[at_cold : at_cold + len(x[3])], codes[at_warm : at_warm + len(x[6])]
             at_word, at_cold, at_warm = at_word + len(x[0]), at_cold + len(x[3]), at_warm + len(x[6])
-            out.append((block, 1, pickle.dumps((int(table["shard"][0].as_py()), count[mine], successors[:u][mine].astype(np.uint32), cold, warm, successors[u:], hot_total, n, v), 5), None))
+            out.append((block, 1, pickle.dumps((int(table["shard"][0].as_py()), count[mine], successors[:u][mine].astype(np.uint32), cold, warm, successors[u:], hot_total, n, v, floor), 5), None))
         cols = list(zip(*out, strict=True))
         return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())], ["block", "kind", "payload", "book"])
 
@@ -252,20 +253,20 @@ def _scores(answers: DataFrame, hot: np.ndarray, shards: int, discount: float, k
         by_home = np.argsort(home, kind="stable")
         home_edges = np.searchsorted(home[by_home], np.arange(shards + 1))
         count, after = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        codes = np.zeros(len(grams.word), np.uint8)
+        seen = np.zeros(len(grams.word))
         hot_after, hot_count, n, v = np.zeros(len(hot), np.int64), np.zeros(len(hot), np.int64), 0, 0
-        for s, (c, succ, cold, warm, hot_succ, hot_total, n_s, v_s) in got.items():
+        for s, (c, succ, cold, warm, hot_succ, hot_total, n_s, v_s, floor) in got.items():
             w = by_home[home_edges[s] : home_edges[s + 1]]
             count[w], after[w] = c, succ
             cold_at, warm_at = grams.of_shard(s)
-            codes[cold_at], codes[warm_at] = cold, warm
+            for place, codes in ((cold_at, cold), (warm_at, warm)):
+                seen[place] = np.where(codes > 0, 10 ** Quantiser(floor).logs(codes), 0.0)
             hot_after, hot_count, n, v = hot_after + hot_succ, hot_total, n + n_s, v + v_s
         base = (count + 1) / (n + v + 1)
         of, types = np.append(count, 0).astype(float), np.append(after, 0).astype(float)
         some = grams.number >= 0
         of[some], types[some] = hot_count[grams.number[some]], hot_after[grams.number[some]]
         weight = np.where(of > 0, discount * types / np.maximum(1, of), 1.0)
-        seen = np.where(codes > 0, 10 ** Quantiser().logs(codes), 0.0)
         gram = np.log10(seen + weight[grams.context] * base[grams.word])
         starts = np.concatenate([[0], ends[:-1]])
         each = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has an end token

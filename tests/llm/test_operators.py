@@ -400,3 +400,11 @@ def test_line_dedup_query_takes_short_lines(spark, tmp_path):
     spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(near))], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     out = {r["doc_id"]: (r["text"], r["n_removed"]) for r in op9_line_dedup(spark, str(tmp_path)).collect()}
     assert out == {1: ("\n".join(lines), 0), 2: ("---\n", 3)}
+
+
+def test_rare_successors_of_a_very_frequent_word():
+    """A pair seen once after 1.8e8 occurrences keeps its probability."""
+    logs = np.log10((np.array([1, 90_000_000, 89_999_999]) - 0.5) / 180_000_000)
+    trie = Trie(np.array([0, 0, 0]), np.array([3, 5, 9], np.uint32), logs, 1)
+    codes = trie.lookup(np.array([0, 0, 0, 0]), np.array([3, 5, 9, 11], np.uint32))
+    assert codes[3] == 0 and np.abs(trie.quantiser.logs(codes[:3]) - logs).max() < 0.02
