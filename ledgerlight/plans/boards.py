@@ -116,7 +116,7 @@ SELECT 'dead jobs', count(*) FROM job WHERE status = 'dead' UNION ALL SELECT 'un
     # --- matching --------------------------------------------------------------------------------------------------
     "r02_alias_canonicalise": "SELECT upper(@replace_all(raw_name, '[^0-9A-Za-z]', '')) AS fold, @first_by(canonical_name, raw_name) AS canonical_name, count(DISTINCT canonical_name) AS candidates FROM alias GROUP BY 1",
     "r03_ref_gate": """
-WITH printed AS (SELECT DISTINCT doc_id, 'Brand#' || CAST(1 + line % 25 AS STRING) || '-' || substr(printed_ref, 2) AS ref, printed_ref FROM evidence WHERE doc_id < 4000),
+WITH printed AS (SELECT DISTINCT doc_id, 'Brand#' || CAST(1 + line % 25 AS STRING) || '-' || substr(printed_ref, 2) AS ref, printed_ref FROM evidence),
 hit AS (SELECT p.doc_id, i.item_ref, 2 AS ord, 'ref-list' AS basis FROM printed p JOIN item i ON i.mfr_ref = p.ref UNION ALL SELECT p.doc_id, i.item_ref, 3, 'ref-item' FROM printed p JOIN item i ON i.item_ref = p.printed_ref)
 SELECT doc_id, item_ref, basis FROM (SELECT doc_id, item_ref, basis, row_number() OVER (PARTITION BY doc_id, item_ref ORDER BY ord) AS rn FROM hit) x WHERE rn = 1""",
     "r04_unscoped_gate": "WITH e AS (SELECT DISTINCT trim(mfr_ref) AS ref, manufacturer_raw FROM item WHERE length(trim(mfr_ref)) >= 6 AND NOT contains(mfr_ref, '!')) SELECT ref, count(DISTINCT manufacturer_raw) AS holders, CASE WHEN count(DISTINCT manufacturer_raw) = 1 THEN 'ref-catalogue' ELSE 'multi-manufacturer-ref' END AS outcome FROM e GROUP BY 1",
@@ -133,7 +133,7 @@ FROM link l JOIN document d ON d.doc_id = l.doc_id AND d.status = 'staged' LEFT
 WITH refs AS (SELECT DISTINCT e.doc_id, e.printed_ref, i.manufacturer_raw FROM evidence e JOIN item i ON i.item_ref = e.printed_ref), per AS (SELECT doc_id, manufacturer_raw, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY doc_id) AS BIGINT) AS total FROM refs GROUP BY 1, 2)
 SELECT doc_id, manufacturer_raw, n, total FROM per WHERE n >= 2 AND n >= 0.5 * total""",
     "r12_near_matches": """
-WITH printed AS (SELECT DISTINCT upper(@replace_all(printed_ref, '[^0-9A-Za-z]', '')) AS k FROM evidence WHERE line = 2 AND doc_id < 3000), reg AS (SELECT DISTINCT item_ref, @replace_all(upper(mfr_ref), '[^0-9A-Z]', '') AS k FROM item WHERE mfr_ref IS NOT NULL),
+WITH printed AS (SELECT DISTINCT upper(@replace_all(printed_ref, '[^0-9A-Za-z]', '')) AS k FROM evidence), reg AS (SELECT DISTINCT item_ref, @replace_all(upper(mfr_ref), '[^0-9A-Z]', '') AS k FROM item WHERE mfr_ref IS NOT NULL),
 tail AS (SELECT k, @explode(@range(4, CAST(length(k) AS INT))) AS n FROM printed WHERE length(k) >= 4)
 SELECT p.k AS printed, r.item_ref, CASE WHEN p.k = r.k THEN 'exact' ELSE 'prefix' END AS kind FROM (SELECT k, right(k, n) AS t FROM tail WHERE n = 4) p JOIN reg r ON right(r.k, 4) = p.t""",
     "r13_item_search": "SELECT item_ref, CASE WHEN @starts(item_ref, 'P12') THEN 2 WHEN contains(item_ref, '12') THEN 1 ELSE 0 END AS score FROM item WHERE contains(item_ref, '12') OR contains(lower(item_name), 'ring')",

@@ -98,3 +98,15 @@ def test_against_duckdb(spark, name):
     names = [d[0] for d in want.description]
     assert sorted(names) == sorted(df.columns)
     assert sorted(map(repr, want.fetchall())) == sorted(repr(tuple(r)) for r in df.select(*names).collect())
+
+
+ITEM = "item_ref string, item_no long, manufacturer_raw string, mfr_ref string, catalogue string"
+EVIDENCE = "doc_id long, line long, printed_ref string"
+
+
+def test_matching_takes_all_evidence(spark, seeded):
+    seeded(item=(ITEM, [("P1234", 1234, "Brand#1", "Brand#1-1234", "C1")]), evidence=(EVIDENCE, [(5, 2, "P77"), (900_000, 3, "P1234")]))
+    r03 = registry.QUERIES["r03_ref_gate"](spark, "/root/testdata/sf0.001").collect()
+    assert [tuple(r) for r in r03] == [(900_000, "P1234", "ref-item")]
+    r12 = registry.QUERIES["r12_near_matches"](spark, "/root/testdata/sf0.001").collect()
+    assert [tuple(r) for r in r12] == [("P1234", "P1234", "prefix")]
