@@ -85,7 +85,7 @@ def x12_merge_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def r01_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = run(spark, sf_dir, "SELECT i.item_ref, i.item_no, i.manufacturer_raw AS manufacturer, i.item_name AS name, CASE WHEN i.item_no % 4 = 0 THEN 'U' || CAST(i.item_no % 300 AS STRING) END AS udi, m.group_id FROM item i LEFT JOIN member m ON m.item_ref = i.item_ref")
     members = rows.where("group_id is not null and item_no % 3 <> 0")
-    return resolve(rows.where("item_no % 5 < 2").select("item_ref", "manufacturer", "name", "udi"), members.select("group_id", "item_ref", "manufacturer", "name", "udi"))
+    return resolve(rows.select("item_ref", "manufacturer", "name", "udi"), members.select("group_id", "item_ref", "manufacturer", "name", "udi"))
 
 
 def m02_upsert_operator(spark: SparkSession, sf_dir: str) -> DataFrame:

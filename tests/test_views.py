@@ -110,3 +110,9 @@ def test_matching_takes_all_evidence(spark, seeded):
     assert [tuple(r) for r in r03] == [(900_000, "P1234", "ref-item")]
     r12 = registry.QUERIES["r12_near_matches"](spark, "/root/testdata/sf0.001").collect()
     assert [tuple(r) for r in r12] == [("P1234", "P1234", "prefix")]
+
+
+def test_resolve_takes_all_items(spark):
+    sf = "/root/testdata/sf0.001"
+    items = {f"P{r[0]}" for r in spark.read.parquet(f"{sf}/part.parquet").select("p_partkey").collect()}
+    assert {r[0] for r in registry.QUERIES["r01_resolve"](spark, sf).select("item_ref").collect()} == items
