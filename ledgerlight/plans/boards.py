@@ -213,7 +213,7 @@ SELECT count(*) FILTER (WHERE n.item_ref IS NOT NULL) AS seen, count(*) FILTER (
     "f02_register_key": "SELECT udi_di, upper(@replace_all(reference, '[.][A-Za-z][A-Za-z0-9]{0,2}$', '')) AS ref_key FROM register_device",
     "t03_key": "SELECT item_ref, upper(@replace_all(item_name || coalesce(mfr_ref, ''), '[^0-9A-Za-z]', '')) AS k FROM item",
     "t04_compact": "SELECT item_ref, lower(@replace_all(item_name, '[ ]', '')) AS compact FROM item",
-    "t05_fold_accents": "SELECT doc_id, translate(lower(substr(text, 1, 60)), 'äöüéèêáíóúñç', 'aoueeeaiounc') AS folded FROM documents",
+    "t05_fold_accents": "SELECT doc_id, translate(lower(text), 'äöüéèêáíóúñç', 'aoueeeaiounc') AS folded FROM documents",
     "t06_normalise_ref": "SELECT item_ref, CASE WHEN @matches(coalesce(mfr_ref, ''), '-[0-9]+$') THEN @extract(mfr_ref, '([0-9]+)$', 1) ELSE mfr_ref END AS ref FROM item",
     "t07_normalise_url": "SELECT page_id, @replace_all(@replace_all(lower(@extract(url, '^([A-Za-z]+://[^/?#]*)', 1)), ':(80|443)$', '') || @replace_all(@extract(url, '^[A-Za-z]+://[^/?#]*([^#]*)', 1), '^/$', ''), '[ ]', '') AS normal FROM pages",
     "t08_domain": "WITH h AS (SELECT page_id, @extract(lower(url), '://([^/:?#]+)', 1) AS host FROM pages) SELECT page_id, host, @extract(host, '([^.]+)[.][^.]+$', 1) AS label FROM h",

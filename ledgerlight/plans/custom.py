@@ -27,7 +27,7 @@ Disallow: /*?page=
 
 def t01_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", text.fold_column(F.substring("text", 1, 200)).alias("folded"))
+    return docs.select("doc_id", text.fold_column(F.col("text")).alias("folded"))
 
 
 def t02_fold_actor(spark: SparkSession, sf_dir: str) -> DataFrame:

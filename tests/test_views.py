@@ -116,3 +116,10 @@ def test_resolve_takes_all_items(spark):
     sf = "/root/testdata/sf0.001"
     items = {f"P{r[0]}" for r in spark.read.parquet(f"{sf}/part.parquet").select("p_partkey").collect()}
     assert {r[0] for r in registry.QUERIES["r01_resolve"](spark, sf).select("item_ref").collect()} == items
+
+
+@pytest.mark.parametrize("name", ["t01_fold", "t05_fold_accents"])
+def test_whole_texts_are_folded(spark, tmp_path, name):
+    spark.createDataFrame([(1, "Ab " * 200 + "Éz")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    [row] = registry.QUERIES[name](spark, str(tmp_path)).collect()
+    assert row["folded"].lower().endswith("ez") and row["folded"].lower().count("ab") == 200
