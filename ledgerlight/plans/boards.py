@@ -184,7 +184,7 @@ SELECT count(*) FILTER (WHERE n.item_ref IS NOT NULL) AS seen, count(*) FILTER (
     "m02_sticky_link_upsert": "WITH new AS (SELECT item_ref, doc_id, 'staged' AS status, 'fetch-context' AS match_basis FROM link WHERE doc_id % 3 = 0) SELECT l.item_ref, l.doc_id, CASE WHEN n.doc_id IS NULL OR l.status IN ('production', 'rejected') THEN l.status ELSE n.status END AS status, CASE WHEN n.doc_id IS NULL OR l.status IN ('production', 'rejected') THEN l.match_basis ELSE n.match_basis END AS match_basis FROM link l LEFT JOIN new n ON n.item_ref = l.item_ref AND n.doc_id = l.doc_id",
     "m03_first_seen": "SELECT udi_di, least(first_seen, last_seen) AS first_seen, greatest(last_seen, DATE '1998-08-02') AS last_seen FROM register_device",
     "m04_counter_upsert": "SELECT type, error, CAST(sum(n) AS BIGINT) AS seen_count FROM (SELECT type, error, count(*) AS n FROM job WHERE id % 2 = 0 AND error IS NOT NULL GROUP BY 1, 2 UNION ALL SELECT type, error, count(*) FROM job WHERE id % 2 = 1 AND error IS NOT NULL GROUP BY 1, 2) x GROUP BY 1, 2",
-    "m05_insert_if_absent": "SELECT id, dedupe_key FROM (SELECT n.id, n.dedupe_key, row_number() OVER (PARTITION BY n.dedupe_key ORDER BY n.id) AS rn FROM job n WHERE n.id >= 5000 AND NOT EXISTS (SELECT 1 FROM job a WHERE a.dedupe_key = n.dedupe_key AND a.id < 5000 AND a.status IN ('pending', 'running', 'failed') AND a.id >= 4000)) x WHERE rn = 1",
+    "m05_insert_if_absent": "SELECT id, dedupe_key FROM (SELECT n.id, n.dedupe_key, row_number() OVER (PARTITION BY n.dedupe_key ORDER BY n.id) AS rn FROM job n WHERE n.id >= 5000 AND NOT EXISTS (SELECT 1 FROM job a WHERE a.dedupe_key = n.dedupe_key AND a.id < 5000 AND a.status IN ('pending', 'running', 'failed'))) x WHERE rn = 1",
     "m06_request_union": "SELECT manufacturer, doc_id FROM document WHERE status = 'staged' AND doc_id < 9000 UNION SELECT manufacturer, doc_id FROM document WHERE status = 'staged' AND doc_id > 8000",
     "m07_retract_unsupported": "SELECT l.item_ref, l.doc_id, CASE WHEN l.status = 'staged' AND e.doc_id IS NULL THEN 'retracted' ELSE l.status END AS status FROM link l LEFT JOIN (SELECT DISTINCT doc_id, printed_ref FROM evidence WHERE value IS NOT NULL) e ON e.doc_id = l.doc_id AND e.printed_ref = l.item_ref",
     "m08_document_upsert": "SELECT d.doc_id, coalesce(CASE WHEN d.doc_id % 7 = 0 THEN d.regulation END, n.regulation) AS regulation, coalesce(n.validity_to, d.validity_to) AS validity_to FROM document d JOIN document n ON n.doc_id = d.doc_id + 8",

@@ -1,6 +1,7 @@
 """Golden cases of the registry semantics, run through the very texts that the queries use."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 
@@ -123,3 +124,18 @@ def test_whole_texts_are_folded(spark, tmp_path, name):
     spark.createDataFrame([(1, "Ab " * 200 + "Éz")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     [row] = registry.QUERIES[name](spark, str(tmp_path)).collect()
     assert row["folded"].lower().endswith("ez") and row["folded"].lower().count("ab") == 200
+
+
+def test_no_id_ranges(spark, seeded):
+    sf = "/root/testdata/sf0.001"
+    doc = (9_000_000, "DoC", "MDR", D(1996, 1, 1), None, None, "production")
+    seeded(
+        item=(ITEM, [("P1", 1, "a", None, "C1"), ("P9000", 9000, "a", None, "C1"), ("P9001", 9001, "a", "x", "C1")]), document=(DOC, [doc]), link=(LINK, []),
+        job=("id long, status string, dedupe_key string", [(7, "pending", "k"), (8, "done", "m"), (5001, "done", "k"), (5002, "done", "m"), (5003, "done", "m")]),
+    )
+    got = lambda name: sorted(tuple(r) for r in registry.QUERIES[name](spark, sf).collect())
+    assert got("j17_null_safe_key") == [("P1", 2), ("P9000", 2), ("P9001", 1)]
+    assert got("j13_scalar_beside") == [("P1", 1), ("P9000", 1), ("P9001", 1)]
+    assert got("a16_fingerprint") == [("DoC", hashlib.md5(b"9000000").hexdigest())]
+    assert got("a12_json_aggregate") == [("production", '{"DoC9000000"}')]
+    assert got("m05_insert_if_absent") == [(5002, "m")]
