@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from ledgerlight.llm import ann, decontaminate, langid, line_dedup, lm_score, mixing, ngram_join, suffix_dedup, token_count, url_filter
@@ -290,45 +291,147 @@ def test_near_copies_of_near_copies(spark):
     assert got == of
 
 
-def test_line_dedup(docs, rows, empty, spark):
-    out = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs.withColumn("n_lines", F.lit(1)), counts=True).collect()}
-    lines = line_dedup._lines(docs, "doc_id", "text", 3).collect()
-    text = {d: (t or "").split("\n") for d, t, *_ in rows}
-    form = lambda s: re.sub(r"[0-9]+", "0", re.sub(r"[\W_]+", " ", s.lower())).strip()
-    first = {}
-    for r in sorted(lines, key=lambda r: (r["doc"], r["pos"])):
-        first.setdefault(r["id"], (r["doc"], r["pos"], r["sig"]))
-
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        return row[-1]
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def line_form(s):
+    return re.sub(r"[0-9]+", "0", re.sub(r"[\W_]+", " ", s.lower())).strip()
+
+
+def line_signature(form):
+    """Block values and numbers of features, counted apart from the operator's packed counters."""
+    words = form.split(" ")
+    found = {form[i : i + 3] for i in range(max(1, len(form) - 2))} if len(words) < 5 else set(words)
+    votes, held = [[0] * 14 for _ in range(8)], [0] * 8
+    for h in (xxhash.xxh64_intdigest(f.encode(), 42) for f in found):
+        block = h >> 57 & 7
+        held[block] += 1
+        for bit in range(14):
+            votes[block][bit] += h >> (9 * (bit // 2) + bit % 2) & 1
+    return [tuple(2 * v > held[b] for v in votes[b]) for b in range(8)], held
 
+
+def line_keys(form):
+    if 3 <= len(form) <= 7:
+        return {form} | {form[:i] + form[i + 1 :] for i in range(len(form))}
+    blocks, held = line_signature(form)
+    return {(i, j, blocks[i], blocks[j]) for half in (range(4), range(4, 8)) for i in half for j in half if i < j and held[i] + held[j] >= 3}
+
+
+def lines_gone(rows):
+    """{(id, text): line numbers} by brute force over all pairs of forms."""
+    rows = list(dict.fromkeys((d, t) for d, t in rows))
+    order = lambda d, t: (d is not None, d or 0, int.from_bytes(xxhash.xxh64(t.encode(), 42).digest(), "big", signed=True))
+    lines = sorted((*order(d, t), i, line_form(x), d, t) for d, t in rows if t for i, x in enumerate(t.split("\n")) if line_form(x))
+    forms = sorted({x[4] for x in lines})
+    keys = {f: line_keys(f) for f in forms}
     pairs = []
-    ids = sorted(first)
-    for i, a in enumerate(ids):
-        for b in ids[i + 1 :]:
-            if bin(first[a][2] ^ first[b][2]).count("1") <= 3:
-                x, y = (form(text[first[k][0]][first[k][1]]) for k in (a, b))
-                if distance(x, y) <= 0.25 * max(len(x), len(y)):
+    for i, a in enumerate(forms):
+        for b in forms[i + 1 :]:
+            if keys[a] & keys[b] and 4 * min(len(a), len(b)) >= 3 * max(len(a), len(b)):
+                apart = sum(x != y for p, q in zip(line_signature(a)[0], line_signature(b)[0], strict=True) for x, y in zip(p, q, strict=True))
+                if (max(len(a), len(b)) <= 7 or apart <= 28) and 4 * edit_distance(a, b) <= max(len(a), len(b)):
                     pairs.append((a, b))
-    of = linked(ids, pairs)
-    lead, gone = {}, collections.defaultdict(set)
-    for r in sorted(lines, key=lambda r: (r["doc"], r["pos"])):
-        if lead.setdefault(of[r["id"]], (r["doc"], r["pos"])) != (r["doc"], r["pos"]):
-            gone[r["doc"]].add(r["pos"])
-    assert gone
+    of, seen, gone = linked(forms, pairs), set(), collections.defaultdict(set)
+    for *_, i, form, d, t in lines:
+        if of[form] in seen:
+            gone[d, t].add(i)
+        seen.add(of[form])
+    return gone, pairs
+
+
+def test_line_dedup(docs, rows, empty, spark):
+    out = line_dedup.dedup_lines(docs.withColumn("n_lines", F.lit(1)), counts=True)
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "n", "id", "bucket", "n_lines", "n_removed"]
+    out = {r["doc_id"]: r for r in out.collect()}
+    gone, pairs = lines_gone([(r[0], r[1]) for r in rows])
+    assert gone and pairs
     for d, t, *_ in rows:
-        want = t if not gone[d] else "\n".join(x for i, x in enumerate(text[d]) if i not in gone[d])
-        assert out[d]["text"] == want and out[d]["n_removed"] == len(gone[d])
+        kept = [x for i, x in enumerate((t or "").split("\n")) if i not in gone[d, t]]
+        assert out[d]["text"] == (t if not gone[d, t] else "\n".join(kept)), d
+        assert out[d]["n_removed"] == len(gone[d, t])
     assert line_dedup.dedup_lines(empty).count() == 0
     long = spark.createDataFrame([(1, "word " * 700 + "end"), (2, "Word, " * 700 + "END!")], "doc_id long, text string")
     assert [r["text"] for r in line_dedup.dedup_lines(long).orderBy("doc_id").collect()][1] == ""
 
 
+def test_line_dedup_null_and_repeated_ids(spark):
+    """Rows that share an id lose their own repeated lines only; equal rows are one row."""
+    rows = [
+        (None, "alpha beta gamma delta\nthe one line of the first"), (None, "something quite different here\nalpha beta gamma delta"),
+        (3, "keep me as I am please\nALPHA beta, gamma delta"), (3, "another text of three\nits second line has to stay"), (3, "another text of three\nits second line has to stay"), (4, None), (5, ""),
+    ]
+    gone, _ = lines_gone(rows)
+    want = [(d, t if not gone[d, t] else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d, t])) for d, t in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in line_dedup.dedup_lines(df).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert sum(map(len, gone.values())) == 2
+    shuffled = [tuple(r) for r in line_dedup.dedup_lines(df, max_broadcast=0).collect()]
+    assert sorted(got, key=repr) == sorted(shuffled, key=repr)
+
+
+def test_line_dedup_of_a_large_group_of_near_copies(spark):
+    """Not all are similar to any one of them, and some are just too far off."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    base, rows = [word() for _ in range(40)], []
+    for d in range(80):
+        words = list(base)
+        for _ in range(rng.randint(0, 7)):
+            words[rng.randrange(40)] = word()
+        rows.append((d, " ".join(words)))
+    gone, pairs = lines_gone(rows)
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d for d, t in out.items() if t == ""} == {d for d, t in gone} and len(pairs) > 100
+
+
+def test_line_dedup_of_very_long_lines(spark):
+    """More features than a counter holds: parts merge, and near copies meet still."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(2600)]
+    near = words[:1200] + ["other"] + words[1201:]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(reversed(words)))], "doc_id long, text string")
+    assert [r["n_removed"] for r in line_dedup.dedup_lines(df, counts=True).orderBy("doc_id").collect()] == [0, 1, 0]
+
+
+def test_line_dedup_finds_similar_lines(spark):
+    """Pairs of similar lines by edit distance alone, whatever their signatures."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
+    words = [word() for _ in range(400)]
+    rows = []
+    for i in range(80):
+        line = [rng.choice(words) for _ in range((1, 12, 30, 60)[i % 4])]
+        copy = list(line)
+        for _ in range(len(line) // 12):
+            copy[rng.randrange(len(copy))] = rng.choice(words)
+        if len(line) == 1:
+            copy[0] = line[0][:2] + "x" + line[0][2:]
+        rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(copy))]
+    similar = {b for (_, s), (b, t) in zip(rows[::2], rows[1::2], strict=True) if edit_distance(s, t) <= 0.25 * max(len(s), len(t))}
+    gone = {r["doc_id"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), counts=True).where("n_removed = 1").collect()}
+    assert len(similar) >= 60 and len(gone & similar) >= 0.9 * len(similar)
+    assert {d for d in similar if len(rows[d][1]) <= 7} <= gone  # of tiny lines all are found
+
+
+def test_line_dedup_query_takes_short_lines(spark, tmp_path):
+    """Lines of one and two words, of scripts without spaces too; lines without letters and digits stay."""
+    from ledgerlight.llm.queries import op9_line_dedup
+
+    lines = ["Home", "next page", "東京都は日本の首都であり世界最大級の都市圏を形成しています", "---", ""]
+    near = ["home", "Next, page!", "東京都は日本の首都であり世界最大級の都市圏を形成していまず", "---", ""]
+    spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(near))], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: (r["text"], r["n_removed"]) for r in op9_line_dedup(spark, str(tmp_path)).collect()}
+    assert out == {1: ("\n".join(lines), 0), 2: ("---\n", 3)}
+
+
 def test_ann(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(900, 16)).astype(np.float32)
@@ -362,48 +465,6 @@ def test_hilbert_keys_are_a_curve():
     assert (np.abs(np.diff(walk, axis=0)).sum(1) == 1).all()
 
 
-def test_line_dedup_finds_similar_lines(spark):
-    """Pairs of similar lines by edit distance alone, whatever their signatures."""
-    rng = random.Random(11)
-    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
-    words = [word() for _ in range(400)]
-    rows = []
-    for i in range(60):
-        line = [rng.choice(words) for _ in range((4, 12, 30, 60)[i % 4])]
-        copy = list(line)
-        for _ in range(len(line) // 10 + (len(line) > 4)):
-            copy[rng.randrange(len(copy))] = rng.choice(words)
-        if len(line) == 4:
-            copy[1] += "x"
-        rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(copy))]
-
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        return row[-1]
-
-    similar = {b for (_, s), (b, t) in zip(rows[::2], rows[1::2], strict=True) if distance(s, t) <= 0.25 * max(len(s), len(t))}
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    sigs = [r["sig"] for r in line_dedup._lines(df.where("doc_id % 2 = 0"), "doc_id", "text", 1, True).collect()]
-    assert len({s[0] for s in sigs}) == len(sigs) == 60  # lines that aren't similar don't meet
-    gone = {r["doc_id"] for r in line_dedup.dedup_lines(df, counts=True, min_hash=True).where("n_removed = 1").collect()}
-    assert len(similar) >= 45 and gone <= similar and len(gone) >= 0.9 * len(similar)
-
-
-def test_line_dedup_query_takes_short_lines(spark, tmp_path):
-    """Lines of one and two words, of scripts without spaces too; lines without letters and digits stay."""
-    from ledgerlight.llm.queries import op9_line_dedup
-
-    lines = ["Home", "next page", "東京都は日本の首都であり世界最大級の都市圏を形成しています", "---", ""]
-    near = ["home", "Next, page!", "東京都は日本の首都であり世界最大級の都市圏を形成していまず", "---", ""]
-    spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(near))], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    out = {r["doc_id"]: (r["text"], r["n_removed"]) for r in op9_line_dedup(spark, str(tmp_path)).collect()}
-    assert out == {1: ("\n".join(lines), 0), 2: ("---\n", 3)}
-
-
 def test_rare_successors_of_a_very_frequent_word():
     """A pair seen once after 1.8e8 occurrences keeps its probability."""
     logs = np.log10((np.array([1, 90_000_000, 89_999_999]) - 0.5) / 180_000_000)
