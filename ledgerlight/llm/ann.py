@@ -14,8 +14,8 @@ more than v. For structured data a smaller reach does.
 Equal vectors are one vector with its `k + 1` smallest ids, gathered through partial lists; that is all that a result
 can need, since ties go to the smaller id. Queries with equal vectors are searched once.
 
-Edge cases: vectors that are null, zero, of another length than the longest, or hold null or non-finite components
-take no part, as queries or as candidates; rows that share a vec_id but not the vector are candidates each; null
+Edge cases: vectors that are null, zero, or hold null or non-finite components take no part, as queries or as
+candidates, nor do those of another length than most have (of equally frequent lengths the largest counts), as inner products need equal lengths; rows that share a vec_id but not the vector are candidates each; null
 vec_id takes no part; with fewer than k candidates all are returned; empty tables give empty results; further columns
 are ignored.
 """
@@ -89,6 +89,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
+def _packed(column: pa.ListArray) -> list[bytes]:
+    """Equally long vectors as bytes; -0.0 becomes 0.0."""
+    raw = (column.flatten().to_numpy(zero_copy_only=False) + 0.0).tobytes()
+    width = len(raw) // len(column) if len(column) else 0
+    return [raw[i * width : (i + 1) * width] for i in range(len(column))]
+
+
 def usable(vector: Column) -> Column:
     """Not null, not zero, and all components finite numbers."""
     ok = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
@@ -101,8 +108,8 @@ def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[bytes, list[int]] = {}
-            for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found.setdefault((np.array(v, np.float64) + 0.0).tobytes(), []).append(i)
+            for i, v in zip(batch.column(0).to_pylist(), _packed(batch.column(1)), strict=True):
+                found.setdefault(v, []).append(i)
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array([sorted(x)[:keep] for x in found.values()], pa.list_(pa.int64()))], ["vector", "ids"])
 
     some = rows.mapInArrow(partial, "vector binary, ids array<long>").withColumn("key", F.xxhash64("vector"))
@@ -166,7 +173,7 @@ def search(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     orderings: int = 10,
-    reach: float = 0.05,
+    reach: float = 0.06,
     block_rows: int = 2000,
     sample: int = 20_000,
     seed: int = 11,
@@ -176,7 +183,8 @@ def search(
     B.workers_import(spark)
     rows = vectors.where(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
     rows = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), queries.alias("asked"))
-    dim = rows.agg(F.max(F.size("vector"))).first()[0] or 0
+    lengths = rows.groupBy(F.size("vector").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).limit(1).collect()
+    dim = lengths[0]["dim"] if lengths else 0
     rows = rows.where(F.size("vector") == dim)
     base = cut(distinct_vectors(rows.select("id", "vector"), k + 1))
     n = base.count()
@@ -198,7 +206,7 @@ def search(
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([(np.array(v, np.float64) + 0.0).tobytes() for v in batch.column(1).to_pylist()], pa.binary())], ["query_id", "vector"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_packed(batch.column(1)), pa.binary())], ["query_id", "vector"])
 
     asked = cut(asked.mapInArrow(packed, "query_id long, vector binary").withColumn("key", F.xxhash64("vector")))
     targets = _placed(base, plan, False)
