@@ -12,8 +12,8 @@ the documents' grams out of the shuffle. A gram that a third of the documents ha
 adaptive execution splits; what follows is aggregated by document with partial aggregation.
 
 Edge cases: null, empty and wordless texts have no words and are clean; null or empty items match nothing; repeated
-items count once (item_id); rows that share a doc_id are one document: hits are united, n_words is the largest;
-null doc_id is a document like any other; empty tables give empty results or clean documents; further columns, with
+items count once (item_id); a document is known by its id and its text, so that rows that share a doc_id, null too, are
+judged each, and rows equal in both are one document; empty tables give empty results or clean documents; further columns, with
 whatever names, are ignored.
 """
 
@@ -138,10 +138,12 @@ def document_grams(docs: DataFrame, id_col: str, text_col: str, window: int, k:
                 texts = text[at] if len(at) else at.astype(int)
                 mid, before, after = _rows(w, texts, at, size, window)
                 n = b - a
+                rows = pa.array(np.concatenate([np.arange(n), texts]))
                 own = B.mix(np.arange(n, dtype=np.uint64) + w.bounds[-1].astype(np.uint64)) if n else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(a, n).take(pa.array(np.concatenate([np.arange(n), texts]))),
+                        batch.column(0).slice(a, n).take(rows),
+                        batch.column(2).slice(a, n).take(rows),
                         pa.array(np.concatenate([count, count[texts]]), pa.int64()),
                         pa.array(np.concatenate([own, key.astype(np.uint64)]).view(np.int64)),
                         pa.array(np.concatenate([np.full(n, -1), at - w.bounds[texts]]), pa.int32()),
@@ -150,11 +152,11 @@ def document_grams(docs: DataFrame, id_col: str, text_col: str, window: int, k:
                         pa.array([None] * n + before, pa.list_(pa.string())),
                         pa.array([None] * n + after, pa.list_(pa.string())),
                     ],
-                    ["doc_id", "n_words", "gram", "at", "size", "mid", "before", "after"],
+                    ["doc_id", "row", "n_words", "gram", "at", "size", "mid", "before", "after"],
                 )
 
-    schema = T.StructType.fromDDL("n_words long, gram long, at int, size int, mid string, before array<string>, after array<string>")
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(
+    schema = T.StructType.fromDDL("row long, n_words long, gram long, at int, size int, mid string, before array<string>, after array<string>")
+    return docs.select(F.col(id_col), F.col(text_col).cast("string"), F.xxhash64(F.col(text_col).cast("string"))).mapInArrow(
         run, T.StructType([T.StructField("doc_id", kind), *schema.fields])
     )
 
@@ -190,9 +192,9 @@ def find_contamination(
     item_text_col: str = "text",
     window: int = WINDOW,
     k: int = GRAM,
-    bloom_bits: int = 1 << 23,
+    bloom_bits: int = 1 << 27,
 ) -> DataFrame:
-    """For each document: doc_id, n_words, n_hit, spans (word ranges hit), items (ids), as described above."""
+    """For each document: doc_id, text_hash (of its text), n_words, n_hit, spans (word ranges hit), items (ids), as described above."""
     spark = docs.sparkSession
     B.small_batches(spark)
     grams = benchmark_grams(items, item_id_col, item_text_col, window, k)
@@ -211,17 +213,17 @@ def find_contamination(
     end = F.when(F.col("short") > 0, F.least(F.col("at") + F.col("size") + to_right, F.col("at") + F.col("need"))).otherwise(
         F.col("at") + F.col("size") + to_right
     )
-    spans = joined.select("doc_id", "n_words", "item_id", begin.alias("s"), end.alias("e"), "need").select(
-        "doc_id", "n_words", "item_id", "s", "e", (F.col("e") - F.col("s") >= F.col("need")).alias("hit")
+    spans = joined.select("doc_id", "row", "n_words", "item_id", begin.alias("s"), end.alias("e"), "need").select(
+        "doc_id", "row", "n_words", "item_id", "s", "e", (F.col("e") - F.col("s") >= F.col("need")).alias("hit")
     )
     return (
-        spans.groupBy("doc_id")
+        spans.groupBy("doc_id", "row")
         .agg(
             F.max("n_words").alias("n_words"),
             F.collect_set(F.when(F.col("hit"), F.struct("s", "e"))).alias("spans"),
             F.collect_set(F.when(F.col("hit"), F.col("item_id"))).alias("items"),
         )
-        .select(F.col("doc_id").alias(id_col), "n_words", _covered(F.col("spans")).alias("n_hit"), F.array_sort("spans").alias("spans"), "items")
+        .select(F.col("doc_id").alias(id_col), F.col("row").alias("text_hash"), "n_words", _covered(F.col("spans")).alias("n_hit"), F.array_sort("spans").alias("spans"), "items")
     )
 
 
@@ -247,5 +249,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of docs, with all their columns, whose document isn't contaminated."""
     id_col = options.get("id_col", "doc_id")
     found = find_contamination(docs, items, **options)
-    bad = found.where(is_contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col(id_col).alias("bad_id"))
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["bad_id"]), "left_anti")
+    bad = found.where(is_contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col(id_col).alias("bad_id"), F.col("text_hash").alias("bad_hash"))
+    text = docs[options.get("text_col", "text")].cast("string")
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["bad_id"]) & (F.xxhash64(text) == bad["bad_hash"]), "left_anti")

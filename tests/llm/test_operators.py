@@ -88,6 +88,18 @@ def test_decontaminate(spark, docs, rows, empty):
     assert clean.where("n_hit > 0").count() == 0 and clean.count() == len(rows)
 
 
+def test_decontaminate_null_and_repeated_ids(spark):
+    """A contaminated document doesn't take the clean ones with the same id along."""
+    bad, clean = "one two three four five six seven", "quite another text of so many different words that it is clean"
+    rows = [(None, bad), (None, clean), (3, clean + " here"), (3, bad), (3, bad), (4, None)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, item_id string")
+    bench = spark.createDataFrame([(1, bad)], "item_id long, text string")
+    got = sorted(decontaminate.digest(decontaminate.find_contamination(df, bench)).select("doc_id", "n_words", "n_hit", "contaminated").collect(), key=repr)
+    assert sorted(map(tuple, got), key=repr) == sorted([(None, 7, 7, True), (None, 12, 0, False), (3, 13, 0, False), (3, 7, 7, True), (4, 0, 0, False)], key=repr)
+    kept = decontaminate.decontaminate(df, bench)
+    assert kept.columns == df.columns and sorted((tuple(r)[:2] for r in kept.collect()), key=repr) == sorted([(None, clean), (3, clean + " here"), (4, None)], key=repr)
+
+
 def test_url_filter(spark, empty):
     rules = url_filter.rules_table(spark, [("org", "/", "allow"), ("example.org", "/en/1", "block"), ("example.org", "/en/1", "allow"), ("com", "/de/", "block")])
     urls = [
@@ -465,6 +477,23 @@ def test_ann(spark):
     assert ann.search(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_ann_recall_of_vectors_without_structure(spark):
+    """Independent directions in 64 dimensions, as in the test tables, and a single vector of another length."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(1200, 64))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(5000, [1.0] * 65)], "vec_id long, embedding array<float>")
+    got = collections.defaultdict(set)
+    for r in ann.search(df, F.col("vec_id") % 20 == 0).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    exact = x.astype(np.float64)
+    hits = 0
+    for q in range(0, 1200, 20):
+        s = exact @ exact[q]
+        hits += len(got[q] & {int(i) for i in [j for j in np.argsort(-s) if j != q][:20]})
+    assert set(got) == set(range(0, 1200, 20)) and hits / (20 * len(got)) >= 0.9
+
+
 def test_hilbert_keys_are_a_curve():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3), -1).reshape(-1, 3)
     keys = ann.hilbert_keys(grid, 3)
