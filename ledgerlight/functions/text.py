@@ -10,7 +10,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Endings that name a legal form.
-LEGAL_FORMS = ("gmbh", "ag", "ltd", "limited", "inc", "llc", "sa", "srl", "spa", "bv", "kg", "co", "doo", "d.o.o", "sas", "corp")
+LEGAL_FORMS = {
+    "ag", "gmbh", "co", "kg", "nv", "bv", "sa", "srl", "spa", "ltd", "limited", "llc", "inc", "corp", "corporation", "plc", "oy", "ab", "as", "aps", "sas", "sarl", "sl", "kft", "doo", "sp", "zoo",
+    "pte", "pty",
+}
 
 
 def fold(name: str | None) -> str | None:
@@ -22,12 +25,11 @@ def fold(name: str | None) -> str | None:
 
 
 def fold_actor(name: str | None) -> str | None:
-    """fold(), without punctuation and legal forms at the end."""
+    """fold(), without dots ("A.G." is "ag"), other punctuation and legal forms at the end; nothing may be left."""
     if name is None:
         return None
-    plain = fold(re.sub(r"\.(?=\s|$)", " ", name)).replace(".", "")
-    words = re.sub(r"[^\w\s]", " ", plain).split()
-    while len(words) > 1 and words[-1] in LEGAL_FORMS:
+    words = re.sub(r"[^\w\s]", " ", fold(name.replace(".", ""))).split()
+    while words and words[-1] in LEGAL_FORMS:
         words.pop()
     return " ".join(words)
 

@@ -46,9 +46,12 @@ SELECT CASE WHEN l.group_id IS NULL THEN 'never' WHEN l.hit THEN 'found' WHEN l.
     "q15_uncovered_groups": """
 WITH covered AS (SELECT DISTINCT m.group_id FROM member m JOIN current_link c ON c.item_ref = m.item_ref), seen AS (SELECT group_id, max(seen_at) AS last_at FROM discovery GROUP BY 1)
 SELECT g.group_id, s.last_at, g.members FROM (SELECT group_id, count(*) AS members FROM member GROUP BY 1) g LEFT JOIN seen s ON s.group_id = g.group_id WHERE NOT EXISTS (SELECT 1 FROM covered c WHERE c.group_id = g.group_id)""",
+    # over half of at least five attempts of a manufacturer's groups in the trailing 30 days; every outcome is an attempt
     "q16_failure_spikes": """
-SELECT source, count(*) AS total, count(*) FILTER (WHERE outcome = 'miss') AS misses, round(CAST(count(*) FILTER (WHERE outcome = 'miss') AS DOUBLE) / count(*), 4) AS rate FROM discovery
-WHERE seen_at >= TIMESTAMP '2024-01-20 00:00:00' AND outcome <> 'skipped' GROUP BY source, group_id % 10 HAVING count(*) >= 5 AND CAST(count(*) FILTER (WHERE outcome = 'miss') AS DOUBLE) / count(*) > 0.3""",
+WITH g AS (SELECT DISTINCT m.group_id, coalesce(a.canonical_name, m.manufacturer_raw) AS manufacturer FROM member m LEFT JOIN alias a ON a.raw_name = m.manufacturer_raw),
+x AS (SELECT g.manufacturer, count(*) AS total, count(*) FILTER (WHERE d.outcome = 'miss') AS misses FROM discovery d JOIN g ON g.group_id = d.group_id
+      WHERE d.seen_at >= TIMESTAMP '2024-01-20 00:00:00' - INTERVAL '30' DAY GROUP BY g.manufacturer)
+SELECT manufacturer, total, misses, round(CAST(misses AS DOUBLE) / total, 4) AS rate FROM x WHERE total >= 5 AND CAST(misses AS DOUBLE) / total > 0.5""",
     "q17_items_board": f"""
 WITH c AS (SELECT item_ref, count(*) AS docs, min(CASE WHEN regulation IN ('MDR', 'MDD') THEN expires END) AS next_expiry FROM current_link GROUP BY 1), s AS (SELECT item_ref, count(*) AS staged FROM link WHERE status = 'staged' GROUP BY 1)
 SELECT i.item_ref, coalesce(c.docs, 0) AS docs, coalesce(s.staged, 0) AS staged, c.next_expiry FROM item i LEFT JOIN c ON c.item_ref = i.item_ref LEFT JOIN s ON s.item_ref = i.item_ref""",
@@ -129,9 +132,12 @@ FROM link l JOIN document d ON d.doc_id = l.doc_id AND d.status = 'staged' LEFT
     "r08_device_enumeration": "SELECT doc_id, CAST(@size(@found(text, '[0-9]{3,}')) AS BIGINT) AS numbers, CAST(@matches(text, '[|]') AS INT) + CAST(@size(@found(text, '[0-9]{3,}')) >= 3 AS INT) + CAST(@size(@split(text, ',')) > 30 AS INT) >= 2 AS enumeration FROM documents",
     "r09_date_sanity": f"SELECT doc_id, CASE WHEN validity_from IS NULL THEN 'undated' WHEN validity_to < validity_from THEN 'inverted' WHEN validity_to = validity_from THEN 'equal' WHEN validity_from > {AS_OF} THEN 'future-start' WHEN @days(validity_from, validity_to) > 365 * 4 THEN 'long' ELSE 'ok' END AS flag FROM document",
     "r10_subcontractors": "WITH rule AS (SELECT 'Brand#3' AS maker, 'Brand#4' AS sub UNION ALL SELECT 'Brand#10', 'Brand#11') SELECT d.doc_id, r.maker FROM document d JOIN rule r ON r.sub = d.manufacturer WHERE d.type = 'DoC'",
+    # at least three of a document's articles are held by one manufacturer and by no other, and these are four fifths of all known ones
     "r11_name_suggestion": """
-WITH refs AS (SELECT DISTINCT e.doc_id, e.printed_ref, i.manufacturer_raw FROM evidence e JOIN item i ON i.item_ref = e.printed_ref), per AS (SELECT doc_id, manufacturer_raw, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY doc_id) AS BIGINT) AS total FROM refs GROUP BY 1, 2)
-SELECT doc_id, manufacturer_raw, n, total FROM per WHERE n >= 2 AND n >= 0.5 * total""",
+WITH printed AS (SELECT DISTINCT doc_id, printed_ref FROM evidence), carried AS (SELECT item_ref AS ref, manufacturer_raw FROM item UNION SELECT mfr_ref, manufacturer_raw FROM item WHERE mfr_ref IS NOT NULL),
+holder AS (SELECT ref, min(manufacturer_raw) AS maker, count(*) AS makers FROM carried GROUP BY ref),
+per AS (SELECT p.doc_id, h.maker, count(*) FILTER (WHERE h.makers = 1) AS n, CAST(sum(count(*)) OVER (PARTITION BY p.doc_id) AS BIGINT) AS total FROM printed p JOIN holder h ON h.ref = p.printed_ref GROUP BY p.doc_id, h.maker)
+SELECT doc_id, maker AS manufacturer_raw, n, total FROM per WHERE n >= 3 AND n >= 0.8 * total""",
     "r12_near_matches": """
 WITH printed AS (SELECT DISTINCT upper(@replace_all(printed_ref, '[^0-9A-Za-z]', '')) AS k FROM evidence), reg AS (SELECT DISTINCT item_ref, @replace_all(upper(mfr_ref), '[^0-9A-Z]', '') AS k FROM item WHERE mfr_ref IS NOT NULL),
 tail AS (SELECT k, @explode(@range(4, CAST(length(k) AS INT))) AS n FROM printed WHERE length(k) >= 4)

@@ -95,10 +95,11 @@ WHERE l.status = 'production' AND d.status IN ('production', 'superseded')""",
     "current_link": "SELECT item_ref, doc_id, match_basis, type, regulation, validity_from, doc_status, expires, basis FROM history WHERE current",
     "document_current": """
 SELECT doc_id FROM current_link UNION SELECT d.doc_id FROM document d WHERE d.status = 'production' AND NOT EXISTS (SELECT 1 FROM link l WHERE l.doc_id = d.doc_id AND l.status = 'production')""",
+    # a trailing R-code is dropped; only what follows "Rev" is a revision, which is reported as it is printed
     "held_certificate": """
-SELECT DISTINCT d.doc_id, d.type, d.manufacturer, @replace_all(@replace_all(d.certificate_number, ' R[0-9]+$', ''), ' Rev\\. ?[0-9]+$', '') AS base_number,
-       nullif(@extract(d.certificate_number, ' (R|Rev\\. ?)([0-9]+)$', 2), '') AS revision
+SELECT DISTINCT d.doc_id, d.type, d.status, d.manufacturer, @replace_all(@replace_all(d.certificate_number, ' +R[0-9]+$', ''), ' *[Rr][Ee][Vv][.]? *[0-9]+$', '') AS base_number,
+       nullif(@extract(d.certificate_number, '([Rr][Ee][Vv][.]? *[0-9]+)$', 1), '') AS revision
 FROM document d JOIN link l ON l.doc_id = d.doc_id AND l.status = 'production'
-WHERE d.type IN ('EC', 'ISO') AND d.status = 'production' AND d.certificate_number IS NOT NULL""",
+WHERE d.type IN ('EC', 'ISO') AND d.certificate_number IS NOT NULL""",
     "trusted_actor": "SELECT canonical_name, srn FROM actor WHERE status IN ('auto', 'confirmed')",
 }

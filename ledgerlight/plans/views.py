@@ -19,7 +19,7 @@ FROM (SELECT i.item_ref, i.product_class, CASE e.line % 4 WHEN 0 THEN 'I' WHEN 1
     "v05_item_document_history": "SELECT item_ref, doc_id, type, regulation, validity_from, expires, basis, match_basis, current AS is_current FROM history",
     "v06_item_document_production": "SELECT item_ref, doc_id, match_basis, type, regulation, expires FROM current_link",
     "v07_document_current": "SELECT doc_id FROM document_current",
-    "v08_held_certificate": "SELECT doc_id, type, manufacturer, base_number, revision FROM held_certificate",
+    "v08_held_certificate": "SELECT doc_id, type, status, manufacturer, base_number, revision FROM held_certificate",
     "v09_trusted_actor": "SELECT canonical_name, srn FROM trusted_actor",
     "v10_certificate_drift": """
 SELECT DISTINCT h.doc_id, h.base_number, h.revision AS held_revision, r.revision_number AS register_revision

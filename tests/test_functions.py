@@ -18,7 +18,8 @@ from ledgerlight.streaming import incremental
 def test_folds():
     assert text.fold("  Société  Générale . SA ,x") == "societe generale.sa,x"
     assert text.fold_actor("Müller & Söhne GmbH Co. KG") == "muller sohne"
-    assert text.fold(None) is None and text.fold_actor("AG") == "ag"
+    assert text.fold(None) is None and text.fold_actor("AG") == ""
+    assert text.fold_actor("Ivoclar Vivadent A.G.") == "ivoclar vivadent" and text.fold_actor("Acme, d.o.o.") == "acme" and text.fold_actor("Co-op Labs") == "co op labs"
 
 
 def test_ratios_against_plain_dynamic_programming():

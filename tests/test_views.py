@@ -139,3 +139,38 @@ def test_no_id_ranges(spark, seeded):
     assert got("a16_fingerprint") == [("DoC", hashlib.md5(b"9000000").hexdigest())]
     assert got("a12_json_aggregate") == [("production", '{"DoC9000000"}')]
     assert got("m05_insert_if_absent") == [(5002, "m")]
+
+
+def test_held_certificate_reports_rev_only(spark, seeded):
+    """An R-code is dropped and isn't a revision; Rev is reported as printed, whatever its case and the document's status."""
+    numbers = ["SX 12 R03", "SX 12 Rev. 03", "HZ 7 rev02", "G1 99", "SX 5 Rev. 2 R01"]
+    seeded(
+        document=("doc_id long, type string, status string, manufacturer string, certificate_number string", [(i, "EC", "superseded", "M", n) for i, n in enumerate(numbers)]),
+        link=("item_ref string, doc_id long, match_basis string, status string", [("P1", i, "ref-list", "production") for i in range(len(numbers))]),
+    )
+    got = {r["doc_id"]: (r["base_number"], r["revision"]) for r in spark.sql(spark_sql("SELECT * FROM held_certificate")).collect()}
+    assert got == {0: ("SX 12", None), 1: ("SX 12", "Rev. 03"), 2: ("HZ 7", "rev02"), 3: ("G1 99", None), 4: ("SX 5", None)}
+
+
+def test_name_suggestion_needs_three_exclusive_articles(spark, seeded):
+    from ledgerlight.plans import boards
+
+    items = [("A1", "a", None), ("A2", "a", None), ("A3", "a", None), ("B1", "b", "S"), ("B2", "b", None), ("A4", "a", "S")]
+    printed = [(1, "A1"), (1, "A2"), (1, "A3"), (1, "A3"), (1, "unknown"), (2, "A1"), (2, "A2"), (3, "A1"), (3, "A2"), (3, "A3"), (3, "S"), (4, "A1"), (4, "A2"), (4, "A3"), (4, "A4"), (4, "B2")]
+    seeded(item=("item_ref string, manufacturer_raw string, mfr_ref string", items), evidence=("doc_id long, printed_ref string", printed))
+    text = next(t for d in vars(boards).values() if isinstance(d, dict) and (t := d.get("r11_name_suggestion")))
+    assert {tuple(r) for r in spark.sql(spark_sql(text)).collect()} == {(1, "a", 3, 3), (4, "a", 4, 5)}
+
+
+def test_failure_spikes_by_manufacturer(spark, seeded):
+    from ledgerlight.plans import boards
+
+    at, old = dt.datetime(2024, 1, 10), dt.datetime(2023, 12, 1)
+    log = [(1, "miss", at)] * 3 + [(2, "hit", at), (2, "skipped", at)] + [(3, "miss", at)] * 4 + [(4, "miss", old)] * 6 + [(5, "miss", at)] * 3 + [(5, "hit", at)] * 3
+    seeded(
+        member=("group_id long, item_ref string, manufacturer_raw string", [(1, "P1", "x"), (2, "P2", "X"), (2, "P3", "X"), (3, "P4", "y"), (4, "P5", "z"), (5, "P6", "w")]),
+        alias=("raw_name string, canonical_name string", [("x", "Maker"), ("X", "Maker")]),
+        discovery=("group_id long, outcome string, seen_at timestamp", log),
+    )
+    text = next(t for d in vars(boards).values() if isinstance(d, dict) and (t := d.get("q16_failure_spikes")))
+    assert {tuple(r) for r in spark.sql(spark_sql(text)).collect()} == {("Maker", 5, 3, 0.6)}
