@@ -1,4 +1,4 @@
-"""Connected components of an edge table by repeated min-label exchange with pointer jumping."""
+"""Connected components of an edge table by alternating stars at larger and at smaller neighbours."""
 
 from __future__ import annotations
 
@@ -11,32 +11,31 @@ from ledgerlight.session import cut
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(id, component): for each node of an edge the smallest node that it can reach.
 
-    Each round gives a node the least label among its own and its neighbours' and then its label's label, so the
-    number of rounds follows the logarithm of the longest path for stars and chains alike. Labels are cut from their
-    lineage each round in the shared checkpoint folder. Null ends and self edges link nothing.
+    A round hangs the larger neighbours of every node on the least of it and its neighbours (large star), then every
+    node and its smaller neighbours on the least of these (small star). Both keep what is connected, and the number of
+    rounds follows the logarithm of the longest path. Minima are aggregates that are joined back, so that a node of very many edges
+    is never one group in one task. It ends when all edges lead from a leaf to the centre of its star; edges that are
+    such stars from the start take no round. Edges are cut from their lineage each round in the shared checkpoint
+    folder. Null ends and self edges link nothing.
     """
-    both = (
-        edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-        .select(F.col(a).alias("x"), F.col(b).alias("y"))
-        .distinct()
-    )
-    both = cut(both.union(both.select(F.col("y").alias("x"), F.col("x").alias("y"))))
-    labels = cut(both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("label")).select(F.col("x").alias("id"), "label"))
+    pairs = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+    pairs = cut(pairs.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     for _ in range(max_rounds):
-        near = (
-            both.join(labels.withColumnRenamed("id", "y"), "y")
-            .groupBy(F.col("x").alias("id"))
-            .agg(F.min("label").alias("near"))
-        )
-        lower = labels.join(near, "id").select("id", "label", F.least("label", "near").alias("low"))
-        # hook: the old label, a node too, learns of the lower one; then every node jumps to its label's label
-        hooks = lower.groupBy(F.col("label").alias("id")).agg(F.min("low").alias("hook"))
-        hooked = lower.join(hooks, "id", "left").select("id", "label", F.least("low", F.coalesce("hook", "low")).alias("low"))
-        jump = hooked.select(F.col("id").alias("low"), F.col("low").alias("jump"))
-        after = hooked.join(jump, "low", "left").select("id", "label", F.least("low", F.coalesce("jump", "low")).alias("low"))
-        after = cut(after)
-        changed = after.where(F.col("low") != F.col("label")).limit(1).count()
-        labels = after.select("id", F.col("low").alias("label"))
-        if not changed:
-            return labels.withColumnRenamed("label", "component")
+        if not _unfinished(pairs):
+            centres = pairs.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+            return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(centres)
+        ends = F.array(F.struct(F.col("u").alias("x"), F.col("v").alias("y")), F.struct(F.col("v").alias("x"), F.col("u").alias("y")))
+        both = pairs.select(F.explode(ends).alias("e")).select("e.*")
+        lowest = both.groupBy("x").agg(F.least("x", F.min("y")).alias("low"))
+        large = both.where("y > x").join(lowest, "x").select(F.col("y").alias("u"), F.col("low").alias("v"))
+        lowest = large.groupBy("u").agg(F.min("v").alias("low"))
+        nodes = large.join(lowest, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("low").alias("v"))
+        pairs = cut(nodes.where("u <> v").distinct())
     raise RuntimeError(f"no fixed point after {max_rounds} rounds")
+
+
+def _unfinished(pairs: DataFrame) -> bool:
+    """Whether some node has two smaller neighbours, or a smaller and a larger one."""
+    ends = F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))
+    told = pairs.select(F.explode(ends).alias("e")).groupBy("e.x").agg(F.sum("e.up").alias("ups"), F.count("*").alias("n"))
+    return told.where("ups > 1 or (ups = 1 and n > 1)").limit(1).count() > 0
