@@ -123,6 +123,13 @@ class Model:
         self.families = {k: sorted(v) for k, v in sorted(families.items())}
         self.levels: dict[str | None, tuple[list[str], list[tuple[int, int]], np.ndarray, np.ndarray]] = {}
 
+    @classmethod
+    def of(cls, levels: dict[str | None, tuple[list[str], np.ndarray, np.ndarray]]) -> Model:
+        """The model of fitted levels: None is that of the families, the others are named by their family."""
+        model = cls({family: names for family, (names, _, _) in levels.items() if family is not None})
+        model.levels = {key: (names, list(combinations(range(len(names)), 2)), w, b) for key, (names, w, b) in levels.items()}
+        return model
+
     def fit(self, x: np.ndarray, labels: np.ndarray) -> Model:
         of = {lang: fam for fam, langs in self.families.items() for lang in langs}
         group = np.array([of[v] for v in labels])
@@ -201,14 +208,24 @@ def train(
                 made = [x.tobytes() for x in _features(*part)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(_has_letter(*part)), pa.array(made, pa.binary())], ["key", "lang", "ok", "x"])
 
-    got = picked.mapInArrow(run, "key long, lang string, ok boolean, x binary").where("ok").select("key", "lang", "x").toArrow().to_pandas()
-    got = got.sort_values(["lang", "key", "x"]).groupby("lang").head(each)
-    if got.empty:
-        return Model({})
-    grouped: dict[str, list[str]] = {}
-    for lang in sorted(got["lang"].unique()):
-        grouped.setdefault(families.get(lang, lang), []).append(lang)
-    return Model(grouped).fit(np.frombuffer(b"".join(got["x"]), np.float32).reshape(len(got), DIMS), got["lang"].to_numpy())
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = pa.Table.from_batches(batches, pa.schema([("key", pa.int64()), ("lang", pa.string()), ("x", pa.binary())])).to_pandas()
+        got = got.sort_values(["lang", "key", "x"]).groupby("lang").head(each)
+        if got.empty:
+            return
+        grouped: dict[str, list[str]] = {}
+        for lang in sorted(got["lang"].unique()):
+            grouped.setdefault(families.get(lang, lang), []).append(lang)
+        x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(len(got), DIMS)
+        model = Model(grouped).fit(x, got["lang"].to_numpy())
+        for key, (names, _, w, b) in model.levels.items():
+            columns = [pa.array([key], pa.string()), pa.array([names], pa.list_(pa.string())), pa.array([w.tobytes()], pa.binary()), pa.array([b.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["family", "names", "w", "b"])
+
+    # the sample is bounded, so one task can hold it; the driver gets the weights only
+    made = picked.mapInArrow(run, "key long, lang string, ok boolean, x binary").where("ok").select("key", "lang", "x")
+    levels = made.repartition(1).mapInArrow(fit, "family string, names array<string>, w binary, b binary").collect()
+    return Model.of({r["family"]: (list(r["names"]), np.frombuffer(r["w"]).reshape(len(r["b"]) // 8, DIMS), np.frombuffer(r["b"])) for r in levels})
 
 
 def predict(docs: DataFrame, model: Model, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -134,6 +134,33 @@ def test_language_id(spark, docs, empty):
     assert langid.predict(empty, model).count() == 0
 
 
+def test_language_decisions_by_plain_products(spark, rows):
+    """Margins and votes of whole batches equal those of one text's features at a time."""
+    table = [(i, f"{w} {i} {w}s", lang) for i in range(40) for lang, w in (("en", "the with"), ("de", "der nicht"), ("nl", "het niet"), ("es", "para los"))]
+    model = langid.train(spark.createDataFrame([(i, t, lang) for i, (_, t, lang) in enumerate(table)], "doc_id long, text string, lang string"))
+
+    def decide(key, x):
+        names, pairs, w, b = model.levels[key]
+        margins = [float(w[i] @ x + b[i]) for i in range(len(pairs))]
+        votes, sums = collections.Counter(), collections.Counter()
+        for (p, q), m in zip(pairs, margins, strict=True):
+            votes[names[p] if m > 0 else names[q]] += 1
+            sums[names[p]] += m
+            sums[names[q]] -= m
+        return max(names, key=lambda n: (votes[n], sums[n]))
+
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(spark.createDataFrame(rows, SCHEMA), model).collect()}
+    for i, text, *_ in rows:
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        if not any(c.isalpha() for c in text or ""):
+            assert got[i] == "und"
+            continue
+        x = langid._features(data, np.array([0, len(data)]))[0].astype(float)
+        assert got[i] == decide(decide(None, x), x)
+    alone = langid.train(spark.createDataFrame([(1, "the", "en"), (2, "of", "en")], "doc_id long, text string, lang string"))
+    assert {r["lang_pred"] for r in langid.predict(spark.createDataFrame(rows, SCHEMA), alone).collect()} == {"en", "und"}
+
+
 def test_mixing(docs, rows, empty):
     out = mixing.mix_sources(docs.withColumn("copy", F.lit(9)), weights={"a": 3.0, "b": 0.0}).collect()
     again = mixing.mix_sources(docs.repartition(7), weights={"a": 3.0, "b": 0.0}).collect()
