@@ -138,10 +138,6 @@ WITH printed AS (SELECT DISTINCT doc_id, printed_ref FROM evidence), carried AS
 holder AS (SELECT ref, min(manufacturer_raw) AS maker, count(*) AS makers FROM carried GROUP BY ref),
 per AS (SELECT p.doc_id, h.maker, count(*) FILTER (WHERE h.makers = 1) AS n, CAST(sum(count(*)) OVER (PARTITION BY p.doc_id) AS BIGINT) AS total FROM printed p JOIN holder h ON h.ref = p.printed_ref GROUP BY p.doc_id, h.maker)
 SELECT doc_id, maker AS manufacturer_raw, n, total FROM per WHERE n >= 3 AND n >= 0.8 * total""",
-    "r12_near_matches": """
-WITH printed AS (SELECT DISTINCT upper(@replace_all(printed_ref, '[^0-9A-Za-z]', '')) AS k FROM evidence), reg AS (SELECT DISTINCT item_ref, @replace_all(upper(mfr_ref), '[^0-9A-Z]', '') AS k FROM item WHERE mfr_ref IS NOT NULL),
-tail AS (SELECT k, @explode(@range(4, CAST(length(k) AS INT))) AS n FROM printed WHERE length(k) >= 4)
-SELECT p.k AS printed, r.item_ref, CASE WHEN p.k = r.k THEN 'exact' ELSE 'prefix' END AS kind FROM (SELECT k, right(k, n) AS t FROM tail WHERE n = 4) p JOIN reg r ON right(r.k, 4) = p.t""",
     "r13_item_search": "SELECT item_ref, CASE WHEN @starts(item_ref, 'P12') THEN 2 WHEN contains(item_ref, '12') THEN 1 ELSE 0 END AS score FROM item WHERE contains(item_ref, '12') OR contains(lower(item_name), 'ring')",
     "r14_pick_check": "WITH pick AS (SELECT 'P' || CAST(doc_id % 2500 AS STRING) AS item_ref, doc_id, manufacturer FROM document WHERE status = 'staged') SELECT p.doc_id, p.item_ref, CASE WHEN i.item_ref IS NULL THEN 'unknown' WHEN i.manufacturer_raw <> p.manufacturer THEN 'other-manufacturer' WHEN l.status IS NOT NULL THEN 'linked' ELSE 'ok' END AS verdict FROM pick p LEFT JOIN item i ON i.item_ref = p.item_ref LEFT JOIN link l ON l.item_ref = p.item_ref AND l.doc_id = p.doc_id",
     "r16_crossref_tiers": "WITH x AS (SELECT d.manufacturer, i.manufacturer_raw, count(*) AS n FROM link l JOIN document d ON d.doc_id = l.doc_id JOIN item i ON i.item_ref = l.item_ref GROUP BY 1, 2), t AS (SELECT *, CAST(sum(n) OVER (PARTITION BY manufacturer) AS BIGINT) AS total FROM x) SELECT manufacturer, manufacturer_raw, n, CASE WHEN n >= 5 AND n >= 0.1 * total THEN 'CONFIRMED' WHEN n >= 3 THEN 'LIKELY' ELSE 'WEAK' END AS tier FROM t",
@@ -215,15 +211,11 @@ SELECT count(*) FILTER (WHERE n.item_ref IS NOT NULL) AS seen, count(*) FILTER (
     "z13_deferred_batches": "SELECT CAST(doc_id % 50 AS BIGINT) AS batch, count(*) AS reads, count(*) FILTER (WHERE tier = 'T2') AS waiting FROM evidence GROUP BY 1",
     "z14_epoch": "SELECT manufacturer, CAST(max(doc_id) AS BIGINT) AS epoch FROM document GROUP BY 1",
     # --- scalar functions ------------------------------------------------------------------------------------------
-    "f01_fold_code": "SELECT item_ref, mfr_ref, upper(@extract(coalesce(mfr_ref, ''), '^([A-Za-z]+)', 1)) || '.' || lpad(@extract(coalesce(mfr_ref, ''), '-([0-9]+)$', 1), 3, '0') AS folded FROM item",
-    "f02_register_key": "SELECT udi_di, upper(@replace_all(reference, '[.][A-Za-z][A-Za-z0-9]{0,2}$', '')) AS ref_key FROM register_device",
     "t03_key": "SELECT item_ref, upper(@replace_all(item_name || coalesce(mfr_ref, ''), '[^0-9A-Za-z]', '')) AS k FROM item",
     "t04_compact": "SELECT item_ref, lower(@replace_all(item_name, '[ ]', '')) AS compact FROM item",
     "t05_fold_accents": "SELECT doc_id, translate(lower(text), 'äöüéèêáíóúñç', 'aoueeeaiounc') AS folded FROM documents",
-    "t06_normalise_ref": "SELECT item_ref, CASE WHEN @matches(coalesce(mfr_ref, ''), '-[0-9]+$') THEN @extract(mfr_ref, '([0-9]+)$', 1) ELSE mfr_ref END AS ref FROM item",
     "t07_normalise_url": "SELECT page_id, @replace_all(@replace_all(lower(@extract(url, '^([A-Za-z]+://[^/?#]*)', 1)), ':(80|443)$', '') || @replace_all(@extract(url, '^[A-Za-z]+://[^/?#]*([^#]*)', 1), '^/$', ''), '[ ]', '') AS normal FROM pages",
     "t08_domain": "WITH h AS (SELECT page_id, @extract(lower(url), '://([^/:?#]+)', 1) AS host FROM pages) SELECT page_id, host, @extract(host, '([^.]+)[.][^.]+$', 1) AS label FROM h",
-    "t09_parse_date": "SELECT doc_id, @date('1998-' || lpad(CAST(1 + doc_id % 14 AS STRING), 2, '0') || '-' || lpad(CAST(1 + doc_id % 31 AS STRING), 2, '0')) AS parsed FROM document",
     "t11_dates_in": "SELECT doc_id, @array_text(@sorted(@distinct(@found(text, '[0-9]{4}-[0-9]{2}-[0-9]{2}'))), ',') AS dates FROM documents",
     "t13_period_keys": "SELECT doc_id, @month(validity_from) AS month, @week(validity_from) AS week, CAST(floor(CAST(@days(DATE '1970-01-01', validity_from) AS DOUBLE) / 90) AS BIGINT) AS bucket FROM document WHERE validity_from IS NOT NULL",
     "t16_highlight_tail": "SELECT item_ref, @extract(mfr_ref, '^(.*?)([0-9A-Za-z][^0-9A-Za-z]*[0-9A-Za-z])$', 1) AS head, @extract(mfr_ref, '^(.*?)([0-9A-Za-z][^0-9A-Za-z]*[0-9A-Za-z])$', 2) AS tail FROM item WHERE mfr_ref IS NOT NULL",
@@ -231,7 +223,6 @@ SELECT count(*) FILTER (WHERE n.item_ref IS NOT NULL) AS seen, count(*) FILTER (
     "t18_prose_ref": "SELECT item_ref, contains(coalesce(mfr_ref, '') || CASE WHEN item_no % 50 = 0 THEN '!' ELSE '' END, '!') AS prose FROM item",
     "t19_small_helpers": "SELECT doc_id, replace(replace(certificate_number, '%', '!%'), '_', '!_') AS escaped, nullif(trim(certificate_number), '') AS clean, @date(substr('1998-08-0' || CAST(doc_id % 10 AS STRING), 1, 10)) AS day FROM document",
     "t23_addresses": "SELECT doc_id, address, CASE WHEN @matches(address, '^(info|sales|office|contact)@') THEN 'role' WHEN @matches(address, '[0-9]') THEN 'machine' ELSE 'person' END AS verdict FROM (SELECT doc_id, @explode(@found(lower(text), '[a-z0-9._]+@[a-z0-9.]+[.][a-z]+')) AS address FROM documents) x",
-    "t24_actor_numbers": "SELECT number, min(doc_id) AS first_doc, count(*) AS n FROM (SELECT doc_id, @explode(@found(text, '[0-9]{3}-[0-9]{3}-[0-9]{4}')) AS number FROM documents) x GROUP BY 1",
     "t28_content_hash": "SELECT doc_id, @sha256(text) AS content_hash FROM documents",
     "t29_text_functions": "SELECT item_ref, split_part(item_name, ' ', 1) AS first_word, left(item_name, 4) AS head, lpad(item_ref, 8, '0') AS padded, CAST(instr(item_name, ' ') AS BIGINT) AS gap, CAST(length(item_name) AS BIGINT) AS size FROM item",
     "t30_json_path": "SELECT event_id, CAST(@json(props, k) AS BIGINT) AS k, @json(props, absent) IS NULL AS no_key FROM events",
@@ -253,11 +244,6 @@ FROM card c JOIN item i ON i.item_ref = c.item_ref GROUP BY 1""",
 WITH RECURSIVE walk(id, root) AS (SELECT id, id FROM job WHERE caused_by IS NULL UNION ALL SELECT j.id, w.root FROM job j JOIN walk w ON j.caused_by = w.id),
 last AS (SELECT root, max(id) AS last_id, count(*) AS steps FROM walk GROUP BY 1)
 SELECT l.root, l.steps, j.type AS last_type, CASE WHEN j.status = 'dead' THEN 'failed' WHEN j.status = 'done' THEN 'finished' ELSE 'under way' END AS outcome FROM last l JOIN job j ON j.id = l.last_id""",
-    "t10_parse_printed_date": """
-WITH s AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN CAST(1 + doc_id % 31 AS STRING) || '.' || CAST(1 + doc_id % 12 AS STRING) || '.1997' WHEN 1 THEN '1997-0' || CAST(1 + doc_id % 9 AS STRING) || '-15' WHEN 2 THEN 'May ' || CAST(1 + doc_id % 40 AS STRING) || ', 1998' ELSE 'undated' END AS printed FROM document)
-SELECT doc_id, printed, coalesce(@date(nullif(@extract(printed, '^([0-9]{4}-[0-9]{2}-[0-9]{2})$', 1), '')),
-  @date(nullif(@extract(printed, '([0-9]{4})$', 1) || '-' || lpad(@extract(printed, '^[0-9]{1,2}[.]([0-9]{1,2})[.]', 1), 2, '0') || '-' || lpad(@extract(printed, '^([0-9]{1,2})[.]', 1), 2, '0'), '')),
-  @date(CASE WHEN @matches(printed, '^May [0-9]{1,2}, [0-9]{4}$') THEN @extract(printed, '([0-9]{4})$', 1) || '-05-' || lpad(@extract(printed, '^May ([0-9]{1,2})', 1), 2, '0') END)) AS parsed FROM s""",
     "t14_renewal_period": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN @week(validity_from) ELSE CAST(extract(YEAR FROM validity_from) AS STRING) || '-P' || lpad(CAST(CAST(floor((extract(DOY FROM validity_from) - 1) / 10) AS BIGINT) AS STRING), 3, '0') END AS period FROM document WHERE validity_from IS NOT NULL",
     "t21_page_numbers": "SELECT page_id, url || '&p=' || CAST(n AS STRING) AS page_url FROM (SELECT page_id, url, @explode(@range(1, CAST(1 + page_id % 4 AS INT))) AS n FROM pages WHERE contains(url, '?')) x",
 }
