@@ -9,11 +9,10 @@ SQL: dict[str, str] = {
 WITH live AS (SELECT item_ref, bool_or(true) AS any_doc, bool_or(regulation IN ('MDR', 'MDD')) AS device, bool_or(type = 'DoC') AS declared FROM current_link WHERE expires IS NULL OR expires >= {AS_OF} GROUP BY 1),
 i AS (SELECT i.item_ref, i.md_flag, coalesce(l.any_doc, false) AS any_doc, coalesce(l.device, false) AS device, coalesce(l.declared, false) AS declared FROM item i LEFT JOIN live l ON l.item_ref = i.item_ref),
 s AS (SELECT count(*) FILTER (WHERE md_flag) AS total, count(*) FILTER (WHERE md_flag IS NOT FALSE) AS total_p, count(*) FILTER (WHERE md_flag AND any_doc) AS strict, count(*) FILTER (WHERE md_flag IS NOT FALSE AND any_doc) AS processed,
-             count(*) FILTER (WHERE md_flag AND device) AS device, count(*) FILTER (WHERE md_flag AND declared) AS declared FROM i)
-SELECT 'strict' AS line, strict AS covered, total, round(100.0 * CAST(strict AS DOUBLE) / nullif(total, 0), 1) AS pct FROM s UNION ALL
-SELECT 'processed', processed, total_p, round(100.0 * CAST(processed AS DOUBLE) / nullif(total_p, 0), 1) FROM s UNION ALL
-SELECT 'device', device, total, round(100.0 * CAST(device AS DOUBLE) / nullif(total, 0), 1) FROM s UNION ALL
-SELECT 'declared', declared, total, round(100.0 * CAST(declared AS DOUBLE) / nullif(total, 0), 1) FROM s""",
+             count(*) FILTER (WHERE md_flag AND device) AS device, count(*) FILTER (WHERE md_flag AND declared) AS declared FROM i),
+t AS (SELECT @explode(@array('strict', 'processed', 'device', 'declared')) AS line, * FROM s),
+u AS (SELECT line, CASE line WHEN 'strict' THEN strict WHEN 'processed' THEN processed WHEN 'device' THEN device ELSE declared END AS covered, CASE line WHEN 'processed' THEN total_p ELSE total END AS total FROM t)
+SELECT line, covered, total, round(100.0 * CAST(covered AS DOUBLE) / nullif(total, 0), 1) AS pct FROM u""",
     "q02_declarations_by_trusted_basis": """
 WITH d AS (SELECT DISTINCT item_ref FROM current_link WHERE type = 'DoC' AND match_basis IN ('ref-list', 'ref-item', 'basic-udi-di', 'map-supplier'))
 SELECT count(*) AS total, count(d.item_ref) AS covered, coalesce(round(100.0 * CAST(count(d.item_ref) AS DOUBLE) / nullif(count(*), 0), 1), 0.0) AS pct FROM item i LEFT JOIN d ON d.item_ref = i.item_ref WHERE i.md_flag""",
@@ -75,7 +74,11 @@ SELECT item_ref, doc, state, CASE WHEN state = 'evidence-missing' OR state = 'he
     "q27_certificate_findings": """
 WITH m AS (SELECT DISTINCT h.doc_id, h.base_number, a.srn, r.row_id FROM held_certificate h LEFT JOIN trusted_actor a ON a.canonical_name = h.manufacturer LEFT JOIN register_certificate r ON r.actor_srn = a.srn AND r.certificate_number = h.base_number)
 SELECT count(DISTINCT base_number) AS held, count(DISTINCT CASE WHEN row_id IS NOT NULL THEN base_number END) AS matched, count(DISTINCT CASE WHEN row_id IS NULL AND srn IS NOT NULL THEN base_number END) AS unmatched, count(DISTINCT CASE WHEN srn IS NULL THEN base_number END) AS unattributable FROM m""",
-    "q28_register_digest": "SELECT a.canonical_name, count(DISTINCT d.udi_di) AS devices, count(DISTINCT r.row_id) AS certificates FROM actor a LEFT JOIN register_device d ON d.actor_srn = a.srn LEFT JOIN register_certificate r ON r.actor_srn = a.srn GROUP BY 1",
+    # each side is counted before it meets the other, so that no actor has devices times certificates
+    "q28_register_digest": """
+WITH d AS (SELECT a.canonical_name, count(DISTINCT x.udi_di) AS n FROM actor a JOIN register_device x ON x.actor_srn = a.srn GROUP BY 1),
+c AS (SELECT a.canonical_name, count(DISTINCT r.row_id) AS n FROM actor a JOIN register_certificate r ON r.actor_srn = a.srn GROUP BY 1)
+SELECT a.canonical_name, coalesce(d.n, 0) AS devices, coalesce(c.n, 0) AS certificates FROM (SELECT DISTINCT canonical_name FROM actor) a LEFT JOIN d ON d.canonical_name = a.canonical_name LEFT JOIN c ON c.canonical_name = a.canonical_name""",
     "q29_confirm_queue": "SELECT canonical_name, srn, match_score FROM actor WHERE status = 'suggested' ORDER BY match_score DESC, canonical_name LIMIT 20",
     "q30_onboarding_queue": "SELECT i.manufacturer_raw, count(DISTINCT i.item_ref) AS items FROM item i WHERE NOT EXISTS (SELECT 1 FROM alias a WHERE a.raw_name = i.manufacturer_raw) GROUP BY 1",
     "q31_missing_cards": "SELECT m.group_id, count(*) AS members, max(s.last_at) AS last_search FROM member m LEFT JOIN (SELECT group_id, max(seen_at) AS last_at FROM discovery GROUP BY 1) s ON s.group_id = m.group_id WHERE NOT EXISTS (SELECT 1 FROM current_link c WHERE c.item_ref = m.item_ref) GROUP BY 1",
