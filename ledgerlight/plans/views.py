@@ -90,10 +90,14 @@ SELECT i.item_ref, d.udi_di FROM item i JOIN register_device d ON d.reference =
     "j09_latest_child": "SELECT id, group_id, outcome FROM (SELECT log_id AS id, group_id, outcome, row_number() OVER (PARTITION BY group_id ORDER BY seen_at DESC, log_id DESC) AS rn FROM discovery) x WHERE rn = 1",
     "j10_any_of": "SELECT i.item_ref, i.product_class FROM item i WHERE i.item_ref IN (SELECT @explode(@array('P1', 'P22', 'P333', 'P4444')))",
     "j11_trigram_candidates": """
-WITH w AS (SELECT DISTINCT item_name AS name FROM item), p AS (SELECT name, '  ' || lower(name) || ' ' AS s FROM w), g AS (SELECT DISTINCT name, @explode(@array({grams})) AS gram FROM p)
-SELECT a.name AS left_name, b.name AS right_name, CAST(count(*) AS BIGINT) AS shared FROM g a JOIN g b ON a.gram = b.gram AND a.name < b.name WHERE a.gram <> '' GROUP BY 1, 2 HAVING count(*) >= 12""".replace("{grams}", ", ".join(f"substr(s, {k}, 3)" for k in range(1, 26))),
+WITH w AS (SELECT DISTINCT item_name AS name FROM item), p AS (SELECT name, '  ' || lower(name) || ' ' AS s FROM w), n AS (SELECT name, s, @explode(@range(1, CAST(length(s) AS INT) - 2)) AS k FROM p),
+g AS (SELECT DISTINCT name, substr(s, CAST(k AS INT), 3) AS gram FROM n), f AS (SELECT gram, count(*) AS names FROM g GROUP BY 1),
+-- names that share 12 grams share one of the rarest that are left when each leaves out 11
+r AS (SELECT g.name, g.gram, row_number() OVER (PARTITION BY g.name ORDER BY f.names, g.gram) AS rn, count(*) OVER (PARTITION BY g.name) AS size FROM g JOIN f ON f.gram = g.gram), kept AS (SELECT name, gram FROM r WHERE rn <= size - 11),
+c AS (SELECT DISTINCT a.name AS left_name, b.name AS right_name FROM kept a JOIN kept b ON a.gram = b.gram AND a.name < b.name)
+SELECT c.left_name, c.right_name, count(*) AS shared FROM c JOIN g x ON x.name = c.left_name JOIN g y ON y.name = c.right_name AND y.gram = x.gram GROUP BY 1, 2 HAVING count(*) >= 12""",
     "j12_suffix_join": """
-WITH p AS (SELECT DISTINCT doc_id, substr(printed_ref, 2) AS tail FROM evidence WHERE line = 1 AND length(printed_ref) >= 5), r AS (SELECT mfr_ref, item_ref, @split(mfr_ref, '-') AS parts FROM item WHERE mfr_ref IS NOT NULL)
+WITH p AS (SELECT DISTINCT doc_id, substr(printed_ref, 2) AS tail FROM evidence WHERE length(printed_ref) >= 5), r AS (SELECT mfr_ref, item_ref, @split(mfr_ref, '-') AS parts FROM item WHERE mfr_ref IS NOT NULL)
 SELECT p.doc_id, r.item_ref FROM p JOIN (SELECT item_ref, @at(parts, 2) AS t FROM r) r ON r.t = substr(p.tail, 2)""",
     "j13_scalar_beside": "SELECT i.item_ref, t.n FROM item i, (SELECT count(*) AS n FROM document_current) t",
     "j14_scalar_decorrelated": "SELECT i.item_ref, coalesce(x.n, 0) AS docs FROM item i LEFT JOIN (SELECT item_ref, count(*) AS n FROM current_link GROUP BY 1) x ON x.item_ref = i.item_ref",
@@ -101,8 +105,11 @@ SELECT p.doc_id, r.item_ref FROM p JOIN (SELECT item_ref, @at(parts, 2) AS t FRO
     "j16_fold_key": "SELECT a.raw_name, i.item_ref FROM alias a JOIN item i ON upper(@replace_all(a.raw_name, '[^0-9A-Za-z]', '')) = upper(@replace_all(i.manufacturer_raw, '[^0-9A-Za-z]', ''))",
     "j17_null_safe_key": "SELECT a.item_ref, CAST(sum(b.n) AS BIGINT) AS peers FROM item a JOIN (SELECT mfr_ref, catalogue, count(*) AS n FROM item GROUP BY 1, 2) b ON a.mfr_ref IS NOT DISTINCT FROM b.mfr_ref AND a.catalogue = b.catalogue GROUP BY 1",
     "j18_soft_reference": "SELECT t.id, coalesce('doc:' || d.type, 'item:' || i.item_ref) AS subject FROM task t LEFT JOIN document d ON d.doc_id = t.doc_id AND t.kind = 'review' LEFT JOIN item i ON i.item_no = t.doc_id AND t.kind = 'missing'",
-    "j19_phrase_containment": "SELECT DISTINCT w.word, i.item_name FROM item i JOIN (SELECT DISTINCT @at(@split(p_name, ' '), 2) AS word FROM part) w ON @has(@split(i.item_name, ' '), w.word)",
-    "j20_domain_join": "WITH h AS (SELECT page_id, @extract(lower(url), '://([^/:?#]+)', 1) AS host FROM pages) SELECT a.page_id, count(*) AS same_host FROM h a JOIN h b ON a.host = b.host GROUP BY 1",
+    "j19_phrase_containment": """
+SELECT DISTINCT w.word, i.item_name FROM (SELECT DISTINCT item_name, @explode(@split(item_name, ' ')) AS word FROM item) i JOIN (SELECT DISTINCT @at(@split(p_name, ' '), 2) AS word FROM part) w ON w.word = i.word""",
+    "j20_domain_join": """
+WITH h AS (SELECT page_id, @extract(lower(url), '://([^/:?#]+)', 1) AS host FROM pages), n AS (SELECT host, count(*) AS n FROM h GROUP BY 1)
+SELECT h.page_id, CAST(sum(n.n) AS BIGINT) AS same_host FROM h JOIN n ON n.host = h.host GROUP BY 1""",
     # --- aggregates ------------------------------------------------------------------------------------------------
     "a01_group": "SELECT type, status, count(*) AS n, min(validity_from) AS first_from, max(validity_to) AS last_to FROM document GROUP BY 1, 2",
     "a02_count_filter": "SELECT count(*) FILTER (WHERE md_flag) AS md, count(*) FILTER (WHERE mfr_ref IS NULL) AS no_ref, count(*) AS n FROM item",
@@ -125,7 +132,8 @@ SELECT CASE WHEN o.item_ref IS NULL THEN 'added' WHEN n.item_ref IS NULL THEN 'g
     # --- windows, order, sets --------------------------------------------------------------------------------------
     "w01_rank_current": "SELECT item_ref, type, count(*) AS ties FROM current_link GROUP BY 1, 2 HAVING count(*) > 1",
     "w02_named_window": "SELECT id, count(*) OVER w AS n, min(id) OVER w AS first_id, CAST(row_number() OVER (PARTITION BY dedupe_key ORDER BY id) AS BIGINT) AS pos FROM job WINDOW w AS (PARTITION BY dedupe_key)",
-    "w03_total_beside_page": "SELECT doc_id, total FROM (SELECT doc_id, count(*) OVER () AS total, row_number() OVER (ORDER BY doc_id) AS rn FROM document WHERE type = 'ISO') x WHERE rn BETWEEN 21 AND 40",
+    "w03_total_beside_page": """
+SELECT doc_id, (SELECT count(*) FROM document WHERE type = 'ISO') AS total FROM (SELECT doc_id FROM document WHERE type = 'ISO' ORDER BY doc_id LIMIT 20 OFFSET 20) x""",
     "w04_positions": "SELECT n_name, CAST(row_number() OVER (ORDER BY n_name) AS BIGINT) AS pos FROM nation",
     "w05_top_n": "SELECT type, doc_id, CAST(rn AS BIGINT) AS rn FROM (SELECT type, doc_id, row_number() OVER (PARTITION BY type ORDER BY o_totalprice DESC, doc_id) AS rn FROM document) x WHERE rn <= 5",
     "w06_top_one": "SELECT group_id, outcome, seen_at FROM (SELECT group_id, outcome, seen_at, row_number() OVER (PARTITION BY group_id, outcome ORDER BY seen_at DESC, log_id DESC) AS rn FROM discovery) x WHERE rn = 1",
@@ -136,7 +144,8 @@ SELECT CASE WHEN o.item_ref IS NULL THEN 'added' WHEN n.item_ref IS NULL THEN 'g
     "l04_boolean_order": "SELECT item_ref, mfr_ref FROM item ORDER BY (mfr_ref IS NULL) DESC, item_no LIMIT 40",
     "l05_threshold_top_k": "SELECT type, doc_id FROM (SELECT type, doc_id, row_number() OVER (PARTITION BY type ORDER BY o_totalprice DESC, doc_id) AS rn FROM document WHERE o_totalprice >= 300000) x WHERE rn <= 3",
     "l06_neighbours": "(SELECT item_no, item_ref FROM item WHERE item_no < 100 ORDER BY item_no DESC LIMIT 10) UNION ALL (SELECT item_no, item_ref FROM item WHERE item_no > 102 ORDER BY item_no LIMIT 10)",
-    "l07_capped_with_total": "SELECT group_id, total FROM (SELECT group_id, count(*) OVER () AS total, row_number() OVER (ORDER BY group_id) AS rn FROM (SELECT DISTINCT group_id FROM member) g) x WHERE rn <= 20",
+    "l07_capped_with_total": """
+SELECT group_id, (SELECT count(DISTINCT group_id) FROM member) AS total FROM (SELECT DISTINCT group_id FROM member ORDER BY group_id LIMIT 20) x""",
     "l08_never_seen_first": "SELECT m.group_id, max(d.seen_at) AS last_at FROM member m LEFT JOIN discovery d ON d.group_id = m.group_id GROUP BY 1 ORDER BY last_at ASC NULLS FIRST, m.group_id LIMIT 30",
     "u01_union": "SELECT item_ref AS subject FROM current_link UNION SELECT item_ref FROM item WHERE md_flag",
     "u02_union_all": "SELECT 'doc' AS kind, CAST(doc_id AS STRING) AS ref FROM document WHERE status = 'staged' UNION ALL SELECT 'item', item_ref FROM item WHERE md_flag IS NULL",
