@@ -33,6 +33,8 @@ def ready_checkpoints(spark: SparkSession) -> None:
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
             folder = os.path.join(os.environ.get("TMPDIR", "/tmp"), "checkpoints")
         sc.setCheckpointDir(folder)
 
