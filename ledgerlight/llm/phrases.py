@@ -4,8 +4,8 @@ Texts are lower-cased (A-Z), split at punctuation and line ends into pieces and
 One scan counts single words by language. A phrase that occurs `min_count` times has only words that do, so in a
 second scan pieces end at rarer words too (a Bloom filter of at most `bloom_bits` bits names the others; what it lets
 through is dropped later by its count). From every word on, the suffix of at most `max_words` words goes to the shard
-of its language and first word. Equal suffixes of a block of text are merged before they are sent, as codes of a small
-dictionary. A shard sorts its suffixes in reverse lexicographic order, in which all suffixes with a common prefix lie
+of its language and first word. Equal suffixes of a block of text are merged before they are sent, as numbers: the most
+frequent words, at most `codes` of them, are numbered for all, further ones with each message. A shard sorts its suffixes in reverse lexicographic order, in which all suffixes with a common prefix lie
 together and end where the next one's common prefix is shorter: the stack of open prefixes has one counter for each
 length, and what is popped is a phrase with its count. Here the stack runs over arrays: a counter is the difference of
 two running sums.
@@ -103,11 +103,11 @@ def _counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def count_words(docs: DataFrame, seed: int, hot_share: float) -> DataFrame:
-    """(pair, key, lang, word, n): words with their counts; pairs, without words, that are frequent in some block."""
-    names = ["pair", "key", "lang", "word", "n"]
+    """(key, lang, word, n): words with their counts, without keys; keys of pairs, without words, that are frequent in some block."""
+    names = ["key", "lang", "word", "n"]
 
-    def rows(keys: np.ndarray, lang: pa.Array, word: pa.Array, n: np.ndarray, pair: bool) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), pair)), pa.array(keys.view(np.int64)), lang, word, pa.array(n)], names)
+    def rows(key: pa.Array, lang: pa.Array, word: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([key, lang, word, pa.array(n)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]] = []
@@ -124,7 +124,7 @@ def count_words(docs: DataFrame, seed: int, hot_share: float) -> DataFrame:
             keep = n >= hot_share / 2 * len(all_pairs)
             pairs.clear()
             none = pa.nulls(int(keep.sum()), pa.string())
-            yield rows(keys[keep], none, none, n[keep].astype(np.int64), True)
+            yield rows(pa.array(keys[keep].view(np.int64)), none, none, n[keep].astype(np.int64))
 
         for t, langs in _tokens(batches, seed):
             if not len(t.keys):
@@ -138,17 +138,28 @@ def count_words(docs: DataFrame, seed: int, hot_share: float) -> DataFrame:
                 merged()
                 if len(held[0][0]) > HELD_WORDS // 2:
                     keys, n, lang, word = held.pop()
-                    yield rows(keys, lang, word, n, False)
+                    yield rows(pa.nulls(len(keys), pa.int64()), lang, word, n)
             if sum(len(x) for x in pairs) > BLOCK_WORDS:
                 yield from frequent()
         if held:
             merged()
-            yield rows(held[0][0], held[0][2], held[0][3], held[0][1], False)
+            yield rows(pa.nulls(len(held[0][0]), pa.int64()), held[0][2], held[0][3], held[0][1])
         if pairs:
             yield from frequent()
 
-    found = docs.mapInArrow(run, "pair boolean, key long, lang string, word string, n long")
-    return found.groupBy("pair", "key", "lang", "word").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(run, "key long, lang string, word string, n long").groupBy("key", "lang", "word").agg(F.sum("n").alias("n"))
+
+
+def with_keys(words: DataFrame, seed: int) -> DataFrame:
+    """(key, lang, word, n) of (lang, word, n)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [t.keys for t, _ in _tokens([batch.select(["word", "lang"])], seed)]
+            key = pa.array(np.concatenate(keys or [np.zeros(0, np.uint64)]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([key, *batch.columns], ["key", "lang", "word", "n"])
+
+    return words.select("lang", "word", "n").mapInArrow(run, "key long, lang string, word string, n long")
 
 
 def _within(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -184,32 +195,83 @@ def _merged_suffixes(columns: list[np.ndarray], n: np.ndarray, most: int) -> tup
     return [c[first] for c in columns], n, [s[first] for s in same[1:]]
 
 
+class Plan:
+    """What all tasks share: the filter of frequent words, numbers of the most frequent ones, hot words and hot pairs."""
+
+    def __init__(self, bloom: np.ndarray, ranked: np.ndarray, hot_words: np.ndarray, hot_pairs: np.ndarray):
+        self.bloom, self.ranked, self.hot_words, self.hot_pairs = bloom, ranked, hot_words, hot_pairs
+        self.rank = np.argsort(ranked, kind="stable").astype(np.uint32)
+        self.sorted = ranked[self.rank]
+        self.top = len(ranked)
+
+    def numbers(self, keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A number from 1 for each wanted key, 0 for the others; keys by number, those without a common number last."""
+        number = np.zeros(len(keys), np.uint32)
+        common = np.zeros(len(keys), bool)
+        if self.top:
+            place = np.minimum(np.searchsorted(self.sorted, keys), self.top - 1)
+            common = (self.sorted[place] == keys) & wanted
+            number[common] = self.rank[place[common]] + 1
+        own = wanted & ~common
+        rest, inverse = np.unique(keys[own], return_inverse=True)
+        number[own] = inverse + 1 + self.top
+        return number, self.known(rest)
+
+    def known(self, rest: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros(1, np.uint64), self.ranked, rest])
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers below 2 ** 32, byte by byte: first all lowest bytes."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def _message(columns: list[np.ndarray], n: np.ndarray, known: np.ndarray, top: int) -> bytes:
+    """Suffixes in order, with the keys of words that have no common number."""
+    rest = np.unique(np.concatenate([c[c > top] for c in columns]))
+    if len(rest):
+        columns = [np.where(c > top, np.searchsorted(rest, c) + top + 1, c) for c in columns]
+    first = np.diff(columns[0].astype(np.uint32), prepend=np.uint32(0))
+    body = pickle.dumps((known[rest], [_planes(c) for c in (first, *columns[1:], n)]), 5)
+    return pickle.dumps((len(body), pa.compress(body, "zstd", asbytes=True)), 5)
+
+
+def _opened(payload: memoryview) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    size, body = pickle.loads(payload)
+    rest, packed = pickle.loads(pa.decompress(body, size, "zstd", asbytes=True))
+    *columns, n = (_from_planes(x) for x in packed)
+    columns[0] = np.cumsum(columns[0], dtype=np.uint32)
+    return rest, columns, n.astype(np.int64)
+
+
 def deal_suffixes(docs: DataFrame, plan, shards: int, max_words: int, seed: int) -> DataFrame:
     """(shard, payload): merged suffixes of two and more words of a block of text, for each shard."""
 
     def sent(blocks: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, bytes]]:
-        bloom, hot_words, hot_pairs = plan.value
+        shared = plan.value
         keys = np.concatenate([k for k, _ in blocks])
-        frequent = _maybe(bloom, keys)
+        frequent = _maybe(shared.bloom, keys)
         follows = np.concatenate([f for _, f in blocks]) & frequent
         follows[:-1] &= frequent[1:]
         follows[-1] = False
         at = np.flatnonzero(follows)
         if not len(at):
             return
-        vocabulary, code = np.unique(keys, return_inverse=True)
-        code = (code + 1).astype(np.uint32)
-        columns, open_, last = [code[at]], np.ones(len(at), bool), len(keys) - 1
+        number, known = shared.numbers(keys, frequent)
+        columns, open_, last = [number[at]], np.ones(len(at), bool), len(keys) - 1
         for j in range(1, max_words):
             place = np.minimum(at + j, last)
             open_ &= (at + j <= last) & follows[np.minimum(at + j - 1, last)]
-            columns.append(np.where(open_, code[place], 0).astype(np.uint32))
-        columns, n, _ = _merged_suffixes(columns, np.ones(len(at), np.int64), len(vocabulary))
-        known = np.concatenate([np.zeros(1, np.uint64), vocabulary])
+            columns.append(np.where(open_, number[place], 0).astype(np.uint32))
+        columns, n, _ = _merged_suffixes(columns, np.ones(len(at), np.int64), len(known))
         one = known[columns[0]]
         pair = _pairs(one, known[columns[1]])
-        deal = np.where(_within(hot_words, one), pair, one)
-        hot = np.flatnonzero(_within(hot_pairs, pair))
+        deal = np.where(_within(shared.hot_words, one), pair, one)
+        hot = np.flatnonzero(_within(shared.hot_pairs, pair))
         if len(hot):
             whole = pair[hot]
             for c in columns[2:]:
@@ -218,19 +280,9 @@ def deal_suffixes(docs: DataFrame, plan, shards: int, max_words: int, seed: int)
         shard = ((B.mix(deal.copy()) >> np.uint64(20)) % np.uint64(shards)).astype(np.uint32)
         order = np.argsort(shard, kind="stable")
         edges = np.searchsorted(shard[order], np.arange(shards + 1))
-        for s in range(shards):
+        for s in np.flatnonzero(np.diff(edges)).tolist():
             rows = order[edges[s] : edges[s + 1]]
-            if not len(rows):
-                continue
-            own = [c[rows] for c in columns]
-            used = np.zeros(len(known), bool)
-            for c in own:
-                used[c] = True
-            used[0] = True
-            local = np.cumsum(used) - 1
-            kind = np.uint16 if local[-1] < 1 << 16 else np.uint32
-            body = pickle.dumps((vocabulary[used[1:]], [local[c].astype(kind) for c in own], n[rows].astype(np.uint32)), 5)
-            yield s, pickle.dumps((len(body), pa.compress(body, "zstd", asbytes=True)), 5)
+            yield s, _message([c[rows] for c in columns], n[rows], known, shared.top)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: list[tuple[np.ndarray, np.ndarray]] = []
@@ -266,26 +318,24 @@ def count_prefixes(dealt: DataFrame, plan, max_words: int, min_count: int) -> Da
     """(phrase, n): phrases of two and more words that a shard has counted; those of hot pairs with partial counts."""
 
     def run(table: pa.Table) -> pa.Table:
-        _, _, hot_pairs = plan.value
-        got = []
-        for payload in table["payload"]:
-            size, body = pickle.loads(payload.as_buffer())
-            got.append(pickle.loads(pa.decompress(body, size, "zstd", asbytes=True)))
-        vocabulary, code = np.unique(np.concatenate([x[0] for x in got]), return_inverse=True)
-        code = (code + 1).astype(np.uint32)
-        columns, at = [[] for _ in range(max_words)], 0
-        for x in got:
-            local = np.concatenate([np.zeros(1, np.uint32), code[at : at + len(x[0])]])
-            at += len(x[0])
-            for j, c in enumerate(x[1]):
-                columns[j].append(local[c])
-        columns = [np.concatenate(c) for c in columns]
-        n = np.concatenate([x[2] for x in got]).astype(np.int64)
+        shared = plan.value
+        got = [_opened(payload.as_buffer()) for payload in table["payload"]]
+        rest, inverse = np.unique(np.concatenate([x[0] for x in got]), return_inverse=True)
+        at = 0
+        for keys, columns, _ in got:
+            own = inverse[at : at + len(keys)]
+            at += len(keys)
+            if len(keys):
+                for c in columns:
+                    far = np.flatnonzero(c > shared.top)
+                    c[far] = own[c[far] - shared.top - 1] + shared.top + 1
+        columns = [np.concatenate([x[1][j] for x in got]) for j in range(max_words)]
+        n = np.concatenate([x[2] for x in got])
         del got
-        columns, n, same = _merged_suffixes(columns, n, len(vocabulary))
+        known = shared.known(rest)
+        columns, n, same = _merged_suffixes(columns, n, len(known))
         upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
-        known = np.concatenate([np.zeros(1, np.uint64), vocabulary])
-        hot = _within(hot_pairs, _pairs(known[columns[0]], known[columns[1]])) if len(hot_pairs) else np.zeros(len(n), bool)
+        hot = _within(shared.hot_pairs, _pairs(known[columns[0]], known[columns[1]])) if len(shared.hot_pairs) else np.zeros(len(n), bool)
         phrases, counts = [], []
         for size in range(2, max_words + 1):
             # a counter of this length is pushed where the row has so many words and differs from the row above, popped at the next difference
@@ -304,14 +354,14 @@ def _sorted_keys(table: DataFrame) -> np.ndarray:
     return np.sort(table.select("key").toArrow()["key"].to_numpy().view(np.uint64))
 
 
-def phrase_counts(docs: DataFrame, *, text_col: str, lang_col: str, max_words: int, min_count: int, hot_share: float, shard_words: int, bloom_bits: int, seeds: int = 8) -> tuple[DataFrame, DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, *, text_col: str, lang_col: str, max_words: int, min_count: int, hot_share: float, shard_words: int, bloom_bits: int, codes: int, seeds: int = 8) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(phrase, n) of all phrases of min_count occurrences, single words too; (key, lang, word) of their words; (lang, n)."""
     spark = docs.sparkSession
     B.small_batches(spark)
     docs = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"))
     for seed in range(seeds):
         found = cut(count_words(docs, seed, hot_share))
-        words, pairs = found.where("not pair").drop("pair"), found.where("pair")
+        words, pairs = cut(with_keys(found.where("word is not null"), seed)), found.where("word is null")
         shared = words.groupBy("key").agg(F.count("*").alias("words"), F.max("n").alias("n")).where((F.col("words") > 1) & (F.col("n") >= min_count))
         if not shared.limit(1).count():
             break
@@ -328,7 +378,8 @@ def phrase_counts(docs: DataFrame, *, text_col: str, lang_col: str, max_words: i
     bloom = bloom_of(frequent.select(F.col("key").alias("gram")), bits)  # at most bloom_bits / 8 bytes
     # at most 1 / hot_share words and 2 / hot_share pairs
     hot_words, hot_pairs = _sorted_keys(words.where(F.col("n") >= hot)), _sorted_keys(pairs.where(F.col("n") >= hot / 2))
-    plan = spark.sparkContext.broadcast((bloom, hot_words, hot_pairs))
+    ranked = frequent.orderBy(F.desc("n"), "key").limit(codes).select("key").toArrow()["key"].to_numpy().view(np.uint64)  # at most eight bytes a code
+    plan = spark.sparkContext.broadcast(Plan(bloom, ranked, hot_words, hot_pairs))
     dealt = deal_suffixes(docs, plan, shards, max_words, seed)
     longer = count_prefixes(dealt, plan, max_words, min_count).groupBy("phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
     counts = longer.unionByName(frequent.select(_key_bytes(F.col("key")).alias("phrase"), "n"))
@@ -346,6 +397,7 @@ def collocations(
     hot_share: float = 1 / 20_000,
     shard_words: int = 2_000_000,
     bloom_bits: int = 1 << 27,
+    codes: int = 1 << 20,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's best collocations.
 
@@ -353,7 +405,7 @@ def collocations(
     floor(1000 a n / (l r)). A phrase that a longer one holds as often as it occurs is left out.
     """
     counts, words, totals = phrase_counts(
-        docs, text_col=text_col, lang_col=lang_col, max_words=max_words, min_count=min_count, hot_share=hot_share, shard_words=shard_words, bloom_bits=bloom_bits
+        docs, text_col=text_col, lang_col=lang_col, max_words=max_words, min_count=min_count, hot_share=hot_share, shard_words=shard_words, bloom_bits=bloom_bits, codes=codes
     )
     size = F.length("phrase") / 8
     several = counts.where(F.length("phrase") > 8).withColumnRenamed("n", "a")

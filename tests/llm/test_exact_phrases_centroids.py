@@ -125,7 +125,7 @@ def phrase_rows():
     return rows
 
 
-@pytest.mark.parametrize("options", [{}, {"shard_words": 50, "hot_share": 1 / 20_000}, {"shard_words": 2000, "hot_share": 0.01}, {"bloom_bits": 1 << 13}])
+@pytest.mark.parametrize("options", [{}, {"shard_words": 50, "hot_share": 1 / 20_000}, {"shard_words": 2000, "hot_share": 0.01}, {"bloom_bits": 1 << 13, "codes": 5}, {"codes": 0}])
 def test_collocations(spark, options, monkeypatch):
     monkeypatch.setattr(phrases, "BLOCK_WORDS", 1500)
     rows = phrase_rows()
@@ -143,12 +143,12 @@ def test_hot_pairs_are_dealt_by_all_their_words(spark):
     """A pair that most of the text consists of is in many shards, and is counted whole."""
     rng = random.Random(1)
     docs = spark.createDataFrame([(" ".join(f"hot pair v{rng.randint(0, 50)}" for _ in range(200)), "en") for _ in range(40)], "text string, lang string").repartition(4)
-    words = phrases.count_words(docs, 0, 1 / 20_000)
-    keys = {r["word"]: r["key"] for r in words.where("not pair").collect()}
+    words = phrases.with_keys(phrases.count_words(docs, 0, 1 / 20_000).where("word is not null"), 0)
+    keys = {r["word"]: r["key"] for r in words.collect()}
     hot = np.sort(np.array([keys["hot"], keys["pair"]], np.int64).view(np.uint64))
     pair = phrases._pairs(np.array([keys["hot"]], np.int64).view(np.uint64), np.array([keys["pair"]], np.int64).view(np.uint64))
     bloom = np.full(128, ~np.uint64(0))
-    plan = spark.sparkContext.broadcast((bloom, hot, pair))
+    plan = spark.sparkContext.broadcast(phrases.Plan(bloom, hot[:1], hot, pair))
     dealt = phrases.deal_suffixes(docs, plan, 32, 5, 0)
     found = phrases.count_prefixes(dealt, plan, 5, 100).withColumn("words", F.length("phrase") / 8)
     assert found.where("words = 2").groupBy("phrase").count().agg(F.max("count")).first()[0] > 16
