@@ -22,8 +22,17 @@ def get_spark(app: str = "ledgerlight", cores: int | str = "*", shuffle_partitio
     )
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder; any path that Spark can read."""
+    workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
