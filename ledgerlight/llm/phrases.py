@@ -227,7 +227,7 @@ def _planes(values: np.ndarray) -> bytes:
 
 
 def _from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
 def _message(columns: list[np.ndarray], n: np.ndarray, known: np.ndarray, top: int) -> bytes:
