@@ -343,40 +343,17 @@ def line_form(s):
     return re.sub(r"[0-9]+", "0", re.sub(r"[\W_]+", " ", s.lower())).strip()
 
 
-def line_signature(form):
-    """Block values and numbers of features, counted apart from the operator's packed counters."""
-    words = form.split(" ")
-    found = {form[i : i + 3] for i in range(max(1, len(form) - 2))} if len(words) < 5 else set(words)
-    votes, held = [[0] * 14 for _ in range(8)], [0] * 8
-    for h in (xxhash.xxh64_intdigest(f.encode(), 42) for f in found):
-        block = h >> 57 & 7
-        held[block] += 1
-        for bit in range(14):
-            votes[block][bit] += h >> (9 * (bit // 2) + bit % 2) & 1
-    return [tuple(2 * v > held[b] for v in votes[b]) for b in range(8)], held
-
-
-def line_keys(form):
-    if 3 <= len(form) <= 7:
-        return {form} | {form[:i] + form[i + 1 :] for i in range(len(form))}
-    blocks, held = line_signature(form)
-    return {(i, j, blocks[i], blocks[j]) for half in (range(4), range(4, 8)) for i in half for j in half if i < j and held[i] + held[j] >= 3}
-
-
 def lines_gone(rows):
-    """{(id, text): line numbers} by brute force over all pairs of forms."""
+    """{(id, text): line numbers} by edit distance over all pairs of forms."""
     rows = list(dict.fromkeys((d, t) for d, t in rows))
     order = lambda d, t: (d is not None, d or 0, int.from_bytes(xxhash.xxh64(t.encode(), 42).digest(), "big", signed=True))
     lines = sorted((*order(d, t), i, line_form(x), d, t) for d, t in rows if t for i, x in enumerate(t.split("\n")) if line_form(x))
     forms = sorted({x[4] for x in lines})
-    keys = {f: line_keys(f) for f in forms}
     pairs = []
     for i, a in enumerate(forms):
         for b in forms[i + 1 :]:
-            if keys[a] & keys[b] and 4 * min(len(a), len(b)) >= 3 * max(len(a), len(b)):
-                apart = sum(x != y for p, q in zip(line_signature(a)[0], line_signature(b)[0], strict=True) for x, y in zip(p, q, strict=True))
-                if (max(len(a), len(b)) <= 7 or apart <= 28) and 4 * edit_distance(a, b) <= max(len(a), len(b)):
-                    pairs.append((a, b))
+            if 4 * min(len(a), len(b)) >= 3 * max(len(a), len(b)) and 4 * edit_distance(a, b) <= max(len(a), len(b)):
+                pairs.append((a, b))
     of, seen, gone = linked(forms, pairs), set(), collections.defaultdict(set)
     for *_, i, form, d, t in lines:
         if of[form] in seen:
@@ -440,23 +417,39 @@ def test_line_dedup_of_very_long_lines(spark):
     assert [r["n_removed"] for r in line_dedup.dedup_lines(df, counts=True).orderBy("doc_id").collect()] == [0, 1, 0]
 
 
+def altered(rng, line, kind, word):
+    copy = list(line)
+    if kind == "character":
+        i, at = rng.randrange(len(copy)), rng.randint(0, 8)
+        copy[i] = copy[i][:at] + rng.choice("abcdefghijklmnop") + copy[i][at:]
+    else:
+        for _ in range({"word": 1, "sixth": max(1, len(copy) // 6), "three": 3}[kind]):
+            i = rng.randrange(len(copy))
+            copy[i] = copy[i] + "x" if kind == "three" else word()
+    return copy
+
+
 def test_line_dedup_finds_similar_lines(spark):
-    """Pairs of similar lines by edit distance alone, whatever their signatures."""
+    """Pairs of similar lines by edit distance alone, in every class of length, and with edits in three words."""
     rng = random.Random(11)
-    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
-    words = [word() for _ in range(400)]
-    rows = []
-    for i in range(80):
-        line = [rng.choice(words) for _ in range((4, 12, 30, 60)[i % 4])]
-        copy = list(line)
-        for _ in range(len(line) // 10 + (len(line) > 4)):
-            copy[rng.randrange(len(copy))] = rng.choice(words)
-        if len(line) == 4:
-            copy[1] += "x"
-        rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(copy))]
-    similar = {b for (_, s), (b, t) in zip(rows[::2], rows[1::2], strict=True) if edit_distance(s, t) <= 0.25 * max(len(s), len(t))}
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9)))
+    rows, of = [], {}
+    for low, high in ((2, 4), (5, 6), (7, 9), (10, 24), (25, 60)):
+        for kind in ("character", "word", "sixth", "three"):
+            for _ in range(60):
+                line = [word() for _ in range(rng.randint(low, high))]
+                d = len(rows)
+                rows += [(d, " ".join(line)), (d + 1, " ".join(altered(rng, line, kind, word)))]
+                of[d + 1] = (low, kind)
+    similar = {d for d in of if 0 < edit_distance(rows[d - 1][1], rows[d][1]) <= 0.25 * max(len(rows[d - 1][1]), len(rows[d][1]))}
     gone = {r["doc_id"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), counts=True).where("n_removed = 1").collect()}
-    assert len(similar) >= 60 and gone <= similar and len(gone) >= 0.8 * len(similar)
+    assert gone <= similar
+    found = {c: (sum(of[d] == c for d in gone), sum(of[d] == c for d in similar)) for c in sorted(set(of.values()))}
+    for low in (2, 5, 7, 10, 25):
+        one, both = (sum(x[i] for c, x in found.items() if c[0] == low and c[1] != "three") for i in (0, 1))
+        assert one >= 0.95 * both, found
+    one, both = (sum(x[i] for c, x in found.items() if c[1] == "three") for i in (0, 1))
+    assert one >= 0.85 * both, found
 
 
 def test_line_dedup_finds_all_tiny_pairs(spark):
