@@ -61,16 +61,6 @@ SELECT i.item_ref, coalesce(c.docs, 0) AS docs, coalesce(s.staged, 0) AS staged,
     "q22_anomaly_board": "SELECT error AS kind, type AS subject, count(*) AS seen_count, min(id) AS first_id, max(id) AS last_id FROM job WHERE error IS NOT NULL AND error <> '' GROUP BY 1, 2",
     "q23_global_search": "(SELECT 'item' AS section, item_ref AS ref FROM item WHERE contains(lower(item_name), 'blue') ORDER BY item_no LIMIT 5) UNION ALL (SELECT 'document', CAST(doc_id AS STRING) AS ref FROM document WHERE contains(coalesce(certificate_number, ''), '77') ORDER BY doc_id LIMIT 5) UNION ALL (SELECT 'maker', raw_name AS ref FROM alias WHERE contains(raw_name, '#1') ORDER BY raw_name LIMIT 5) UNION ALL (SELECT 'job', CAST(id AS STRING) AS ref FROM job WHERE contains(dedupe_key, 'error:1') ORDER BY id LIMIT 5)",
     "q24_manufacturer_rows": "SELECT a.canonical_name, @set(a.raw_name, ',') AS spellings, count(DISTINCT i.item_ref) AS items, count(DISTINCT c.doc_id) AS documents FROM alias a LEFT JOIN item i ON i.manufacturer_raw = a.raw_name LEFT JOIN current_link c ON c.item_ref = i.item_ref GROUP BY 1",
-    "q25_item_completeness": f"""
-WITH need AS (SELECT item_ref, product_class, 'DoC' AS doc, 'required' AS need FROM item UNION ALL SELECT item_ref, product_class, 'IFU', CASE WHEN product_class IN ('Ir', 'IIb', 'III') THEN 'required' WHEN product_class IN ('I', 'Is', 'Im', 'IIa') THEN 'conditional' ELSE 'unknown' END FROM item
-  UNION ALL SELECT item_ref, product_class, 'EC', 'evidence' FROM item UNION ALL SELECT item_ref, product_class, 'ISO', 'evidence' FROM item),
-held AS (SELECT l.item_ref, d.type, d.doc_id, d.status AS doc_status, l.status AS link_status, l.match_basis, e.expires, e.basis, row_number() OVER (PARTITION BY l.item_ref, d.type ORDER BY CASE WHEN d.status = 'superseded' THEN 0 WHEN NOT (d.status = 'production' AND l.status = 'production') THEN 1 WHEN l.match_basis = 'mfr-scope' THEN 2 ELSE 3 END DESC, d.doc_id) AS rn
-  FROM link l JOIN document d ON d.doc_id = l.doc_id JOIN expiry e ON e.doc_id = d.doc_id),
-cell AS (SELECT n.item_ref, n.doc, n.need, CASE WHEN h.doc_id IS NULL THEN CASE n.need WHEN 'required' THEN 'missing' WHEN 'conditional' THEN 'exception-possible' WHEN 'unknown' THEN 'class-unknown' ELSE 'evidence-missing' END
-    WHEN h.doc_status = 'superseded' THEN 'superseded' WHEN NOT (h.doc_status = 'production' AND h.link_status = 'production') THEN 'review' WHEN h.expires < {AS_OF} THEN CASE WHEN h.basis = 'staleness' THEN 'review-due' ELSE 'expired' END
-    WHEN @days({AS_OF}, h.expires) <= 30 THEN 'expiring' WHEN h.match_basis = 'mfr-scope' THEN 'mfr-scope-only' ELSE 'held' END AS state FROM need n LEFT JOIN held h ON h.item_ref = n.item_ref AND h.type = n.doc AND h.rn = 1)
-SELECT item_ref, doc, state, CASE WHEN state = 'evidence-missing' OR state = 'held' THEN CASE WHEN state = 'held' THEN 'ok' ELSE 'none' END WHEN need = 'evidence' THEN 'warn' WHEN state IN ('missing', 'superseded', 'expired') THEN 'bad' ELSE 'warn' END AS severity,
-       CASE WHEN state = 'held' OR (need = 'evidence' AND state = 'mfr-scope-only') THEN 'held' WHEN state IN ('expiring', 'review-due', 'review', 'mfr-scope-only', 'class-unknown') THEN 'attention' WHEN state IN ('expired', 'superseded') THEN 'lapsed' ELSE 'none' END AS bucket FROM cell""",
     "q27_certificate_findings": """
 WITH m AS (SELECT DISTINCT h.doc_id, h.base_number, a.srn, r.row_id FROM held_certificate h LEFT JOIN trusted_actor a ON a.canonical_name = h.manufacturer LEFT JOIN register_certificate r ON r.actor_srn = a.srn AND r.certificate_number = h.base_number)
 SELECT count(DISTINCT base_number) AS held, count(DISTINCT CASE WHEN row_id IS NOT NULL THEN base_number END) AS matched, count(DISTINCT CASE WHEN row_id IS NULL AND srn IS NOT NULL THEN base_number END) AS unmatched, count(DISTINCT CASE WHEN srn IS NULL THEN base_number END) AS unattributable FROM m""",
@@ -154,11 +144,6 @@ SELECT d.doc_id, coalesce(p.matched, 0) AS matched, coalesce(p.own, 0) AS own, C
     "r21_mined_addresses": "SELECT address, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_doc FROM (SELECT doc_id, @explode(@found(text, '[A-Za-z0-9._]+@[A-Za-z0-9.]+[.][a-z]+')) AS address FROM documents) x GROUP BY 1",
     "r22_annex_pairing": "SELECT manufacturer, regulation, count(*) AS n, CASE WHEN count(*) = 1 THEN 'paired' ELSE 'ambiguous' END AS outcome, min(doc_id) AS canonical FROM document WHERE type = 'DoC' AND validity_from >= DATE '2001-05-01' GROUP BY 1, 2",
     # --- extraction, scoring ---------------------------------------------------------------------------------------
-    "x01_document_class": "SELECT doc_id, CASE WHEN contains(lower(text), 'license') THEN 'business' WHEN contains(lower(text), '@') THEN 'contact' WHEN length(text) < 100 THEN 'unknown' ELSE 'compliance' END AS doc_class FROM documents",
-    "x02_type_by_marker": "SELECT doc_id, CASE WHEN contains(lower(substr(text, 1, 200)), 'declaration') THEN 'DoC' WHEN contains(lower(substr(text, 1, 200)), 'token') THEN 'EC' WHEN contains(lower(text), 'license') THEN 'ISO' END AS type, CASE WHEN contains(lower(substr(text, 1, 200)), 'declaration') OR contains(lower(substr(text, 1, 200)), 'token') THEN CAST(1.0 AS DOUBLE) WHEN contains(lower(text), 'license') THEN CAST(0.6 AS DOUBLE) END AS conf FROM documents",
-    "x03_regulation": "SELECT doc_id, CASE WHEN contains(text, 'GNU') AND contains(text, 'CC BY') THEN NULL WHEN contains(text, 'GNU') THEN 'GNU' WHEN contains(text, 'CC BY') THEN 'CC' END AS regulation FROM documents",
-    "x04_stated_class": "SELECT doc_id, CASE WHEN @size(@distinct(@found(text, 'version [0-9]'))) = 1 THEN @extract(text, 'version ([0-9])', 1) END AS stated FROM documents",
-    "x05_certificate_number": "SELECT doc_id, nullif(@extract(text, '([0-9]{16})', 1), '') AS number FROM documents",
     "x09_coverage_scope": "SELECT doc_id, CASE WHEN type = 'ISO' THEN 'manufacturer' WHEN type = 'EC' THEN 'manufacturer' ELSE coverage_scope END AS scope, CAST(least(CASE WHEN type IN ('ISO', 'EC') THEN 0.9 ELSE 0.8 END, 0.85) AS DOUBLE) AS conf FROM document",
     "x13_needs_escalation": "SELECT doc_id, @set(CASE WHEN value IS NULL OR confidence < 0.93 THEN field END, ',') AS fields FROM evidence GROUP BY 1",
     "x14_agreement": "SELECT a.doc_id, a.field, upper(trim(a.value)) = upper(trim(b.value)) AS agree, count(*) AS pairs FROM evidence a JOIN evidence b ON b.doc_id = a.doc_id AND b.field = a.field AND b.tier > a.tier WHERE a.value IS NOT NULL AND b.value IS NOT NULL GROUP BY 1, 2, 3",
@@ -237,12 +222,7 @@ SELECT count(*) FILTER (WHERE n.item_ref IS NOT NULL) AS seen, count(*) FILTER (
     "t36_filename_rules": "SELECT page_id, CASE WHEN @matches(url, '[.]html$') THEN 'page' WHEN @matches(url, '[?]') THEN 'query' ELSE 'folder' END AS kind, @extract(url, '/(en|de|fr|es)/', 1) AS companion FROM pages",
 }
 
-_HEAD, _, _TAIL = SQL["q25_item_completeness"].rpartition("\nSELECT item_ref, doc, state")
 SQL |= {
-    "q26_maker_completeness": f"""{_HEAD},
-card AS (SELECT item_ref, doc, state{_TAIL})
-SELECT i.manufacturer_raw, count(*) FILTER (WHERE c.bucket = 'held') AS held, count(*) FILTER (WHERE c.bucket = 'attention') AS attention, count(*) FILTER (WHERE c.bucket = 'lapsed') AS lapsed, count(*) FILTER (WHERE c.bucket = 'none') AS none_n
-FROM card c JOIN item i ON i.item_ref = c.item_ref GROUP BY 1""",
     "q34_upload_outcomes": """
 WITH RECURSIVE walk(id, root) AS (SELECT id, id FROM job WHERE caused_by IS NULL UNION ALL SELECT j.id, w.root FROM job j JOIN walk w ON j.caused_by = w.id),
 last AS (SELECT root, max(id) AS last_id, count(*) AS steps FROM walk GROUP BY 1)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.functions import claims, printed
+from ledgerlight.functions import claims, classify, printed
 from ledgerlight.operators.names import manufacturer_of
 from ledgerlight.operators.picker import search_items
 from ledgerlight.plans.dialect import duck_sql, run
@@ -192,6 +192,102 @@ SELECT doc_id, field, proven AND (field <> 'regulation' OR whole) AS settled,
   uncut AND NOT (field = 'basic_udi_di' AND regexp_matches(words, '{_UDI}')) AS both_null_settled, field = 'regulation' AND proven AND whole AS citation_proven
 FROM d"""
 
+# ---- what kind of document it is
+
+KINDS = _case(
+    "doc_id % 6",
+    ["'Safety  Data\nSheet'", "'Invoice no. 7 for the declaration of conformity'", "'BASIC   UDI-DI'", "'nothing of it'", "'Regulation (EU)  2017/745'", "'EU  Certificate'"],
+)
+
+
+def x01_document_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the first page, and after a look at the header of those that it leaves unknown."""
+    docs = _with_passage(spark, sf_dir, KINDS)
+    first = F.when(F.col("doc_id") % 4 == 0, F.col("head")).otherwise(F.concat_ws("\n", "passage", "head"))
+    docs = docs.withColumn("first_class", classify.document_class(first))
+    blank = F.col("doc_id") % 24 == 3
+    header = F.when(blank, " ").otherwise(F.concat_ws("\n", "head", "passage", "tail"))
+    filename = F.when(F.col("doc_id") % 48 == 3, "ivoclar/doc/letter.pdf").otherwise("ivoclar/misc/Izjava.PDF")
+    return docs.select("doc_id", "first_class", classify.promoted_class(F.col("first_class"), header, filename).alias("class"))
+
+
+X01_SQL = """
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 3 ELSE doc_id % 6 END AS page, doc_id % 6 AS whole FROM documents), k(n, class) AS (VALUES (0, 'msds'), (1, 'business-doc'), (2, 'compliance-doc'), (3, 'unknown'), (4, 'compliance-doc'), (5, 'compliance-doc'))
+SELECT doc_id, k.class AS first_class, CASE WHEN k.class <> 'unknown' THEN k.class WHEN doc_id % 24 = 3 AND doc_id % 48 <> 3 THEN 'compliance-doc' WHEN doc_id % 24 <> 3 AND whole IN (1, 2, 4, 5) THEN 'compliance-doc' ELSE 'unknown' END AS class FROM d JOIN k ON k.n = d.page"""
+
+TYPED = _case(
+    "doc_id % 9",
+    [
+        "'EU Declaration of Conformity'", "'Made under ISO 13485. Konformitatserklarung'", "'CertiﬁCate\nISO 13485:2016'", "'Our system follows ISO 13485'", "repeat('x ', 2100) || 'Instructions for Use'", "''", "''",
+        "'UKCA Certificate, see the declaration of conformity'", "'Dichiarazione UE di conformità'",
+    ],
+)
+
+
+def x02_type_by_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_passage(spark, sf_dir, TYPED)
+    filename = F.when(F.col("doc_id") % 9 == 5, "acme/doc/Navodila 13485.pdf").otherwise("acme/iso/letter.pdf")
+    docs = docs.select("doc_id", classify.document_type(F.concat_ws("\n", "passage", "head", "tail"), filename).alias("x"))
+    return docs.select("doc_id", F.col("x.value").alias("type"), "x.conf", "x.verbatim")
+
+
+X02_SQL = """
+WITH k(n, type, conf, verbatim) AS (VALUES (0, 'DoC', 1.0, 'Declaration of Conformity'), (1, 'DoC', 1.0, 'Konformitatserklarung'), (2, 'ISO', 1.0, 'ISO 13485'), (3, 'ISO', 0.6, 'ISO 13485'), (4, 'IFU', 0.6, 'Instructions for Use'),
+  (5, 'ISO', 0.6, 'filename:acme/doc/Navodila 13485.pdf'), (6, NULL, NULL, NULL), (7, 'EC', 1.0, 'UKCA Certificate'), (8, 'DoC', 1.0, 'Dichiarazione UE di conformità'))
+SELECT doc_id, type, CAST(conf AS DOUBLE) AS conf, verbatim FROM documents JOIN k ON n = doc_id % 9"""
+
+RULED = _case("doc_id % 6", ["'Regulation (EU) 2017/745'", "'2017/745 replaces 93/42'", "'Directive 93/42/EEC'", "''", "''", "'RL 93/42'"])
+
+
+def x03_regulation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_passage(spark, sf_dir, RULED)
+    filename = F.when(F.col("doc_id") % 6 == 3, "mdd/a_2017-745.pdf").otherwise("mdr/letter.pdf")
+    docs = docs.select("doc_id", classify.regulation(F.concat_ws("\n", "head", "passage", "tail"), filename).alias("x"))
+    return docs.select("doc_id", F.col("x.value").alias("regulation"), "x.conf", "x.verbatim")
+
+
+X03_SQL = """
+WITH k(n, regulation, conf, verbatim) AS (VALUES (0, 'MDR', 1.0, '(EU) 2017/745'), (1, NULL, NULL, NULL), (2, 'MDD', 1.0, '93/42/EEC'), (3, 'MDR', 0.6, 'filename:mdd/a_2017-745.pdf'), (4, NULL, NULL, NULL), (5, 'MDD', 1.0, 'RL 93/42'))
+SELECT doc_id, regulation, CAST(conf AS DOUBLE) AS conf, verbatim FROM documents JOIN k ON n = doc_id % 6"""
+
+CLASSED = _case(
+    "doc_id % 9",
+    [
+        "'Risk class: II a, and again class IIa'", "'Class Is/Ir/IIa/llb/lll'", "'Class I sterile'", "'For marketing of class III devices an annex is mandatory'", "'it is classified as class III devices'", "'Klasse IIb; class IIa'", "'RAZRED iii'",
+        "'class II.'", "'Classification: Class IIb Device Group'",
+    ],
+)
+
+
+def x04_stated_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat_ws("\n", "head", "passage", "tail")
+    docs = _with_passage(spark, sf_dir, CLASSED).select("doc_id", classify.stated_class(text).alias("x"), classify.mentions_class(text).alias("mentioned"))
+    return docs.select("doc_id", F.col("x.value").alias("stated"), "x.verbatim", "mentioned")
+
+
+X04_SQL = """
+WITH k(n, stated, verbatim, mentioned) AS (VALUES (0, 'IIa', 'Risk class: II a', true), (1, NULL, NULL, true), (2, 'I', 'Class I', true), (3, NULL, NULL, true), (4, 'III', 'class III', true), (5, NULL, NULL, true), (6, 'III', 'RAZRED iii', true), (7, NULL, NULL, false), (8, 'IIb', 'Class IIb', true))
+SELECT doc_id, stated, verbatim, mentioned FROM documents JOIN k ON n = doc_id % 9"""
+
+_NUMBER = f"'0675GB' || {_text('doc_id')} || '.'"
+NUMBERED = _case(
+    "doc_id % 6",
+    [
+        f"'Certificate No.: ' || {_NUMBER}", f"'No. D10026' || {_text('doc_id')}", "'Article\nNo.\nDescription'", f"'Zertifikat-Kennung DE-' || {_text('doc_id')}", f"'No. WRONG 1\nCertificate number G1 ' || {_text('doc_id')} || '\n'", "'Zertifikat folgt separat'",
+    ],
+)
+
+
+def x05_certificate_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_passage(spark, sf_dir, NUMBERED)
+    text = F.concat_ws("\n", "head", "passage", "tail")
+    docs = docs.select("doc_id", classify.certificate_number(text, F.lit(r"Kennung\s+(?:([A-Z]{2}-[0-9]+))?")).alias("x"))
+    return docs.select("doc_id", F.col("x.value").alias("number"))
+
+
+X05_SQL = """
+SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN '0675GB' || doc_id WHEN 1 THEN 'D10026' || doc_id WHEN 3 THEN 'DE-' || doc_id WHEN 4 THEN 'G1 ' || doc_id END AS number FROM documents"""
+
 # ---- item search
 
 ASKED = """SELECT s_suppkey AS ask_id, 'Brand#' || CAST(1 + s_suppkey % 25 AS STRING) AS manufacturer,
@@ -249,10 +345,12 @@ SELECT walk, CASE WHEN cut IS NULL THEN 'complete' ELSE 'incomplete' END AS stat
 FROM s"""
 
 QUERIES = {
+    "x01_document_class": x01_document_class, "x02_type_by_marker": x02_type_by_marker, "x03_regulation": x03_regulation, "x04_stated_class": x04_stated_class, "x05_certificate_number": x05_certificate_number,
     "r13_picker": r13_picker, "s23_register_walk": s23_register_walk,
     "x07_labelled_dates": x07_labelled_dates, "x08_reference_list": x08_reference_list, "x10_named_manufacturer": x10_named_manufacturer, "t12_printed_date": t12_printed_date, "x15_settled": x15_settled,
 }
 ORACLES = {name: sql.replace("AS STRING", "AS VARCHAR") for name, sql in {
+    "x01_document_class": X01_SQL, "x02_type_by_marker": X02_SQL, "x03_regulation": X03_SQL, "x04_stated_class": X04_SQL, "x05_certificate_number": X05_SQL,
     "r13_picker": duck_sql(R13_SQL), "s23_register_walk": S23_SQL,
     "x07_labelled_dates": X07_SQL, "x08_reference_list": X08_SQL, "x10_named_manufacturer": X10_SQL, "t12_printed_date": T12_SQL, "x15_settled": X15_SQL,
 }.items()}

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from ledgerlight.plans import boards, custom, extraction, matching, views
+from ledgerlight.plans import boards, custom, extraction, matching, registers, views
 from ledgerlight.plans.dialect import duck_sql, query
 
 SQL: dict[str, str] = views.SQL | boards.SQL
 
-QUERIES = {name: query(text) for name, text in SQL.items()} | custom.QUERIES | matching.QUERIES | extraction.QUERIES
-ORACLES = {name: duck_sql(text) for name, text in SQL.items()} | custom.ORACLES | matching.ORACLES | extraction.ORACLES
+QUERIES = {name: query(text) for name, text in SQL.items()} | custom.QUERIES | matching.QUERIES | extraction.QUERIES | registers.QUERIES
+ORACLES = {name: duck_sql(text) for name, text in SQL.items()} | custom.ORACLES | matching.ORACLES | extraction.ORACLES | registers.ORACLES
 
 #: Queries that SQL can't express; tests hold them against golden cases.
 WITHOUT_SQL = (set(custom.QUERIES) - set(custom.ORACLES)) | (set(matching.QUERIES) - set(matching.ORACLES))

@@ -39,22 +39,6 @@ WHERE NOT EXISTS (SELECT 1 FROM held_certificate h WHERE h.manufacturer = a.cano
 WITH state AS (SELECT canonical_name, srn, @plus_days(DATE '1998-07-20', CAST(substr(canonical_name, 7) AS INT)) AS due FROM actor WHERE status <> 'rejected'),
 n AS (SELECT actor_srn, count(*) AS devices FROM register_device GROUP BY actor_srn)
 SELECT s.canonical_name, s.due, coalesce(n.devices, 0) AS devices FROM state s LEFT JOIN n ON n.actor_srn = s.srn WHERE s.due <= {AS_OF}""",
-    "v15_article_status": """
-WITH own AS (SELECT DISTINCT i.item_ref, a.srn, CASE WHEN a.status = 'auto' THEN @replace_all(upper(i.mfr_ref), '[.]K[0-9]+$', '') ELSE i.mfr_ref END AS ref_key
-             FROM item i JOIN actor a ON a.canonical_name = i.manufacturer_raw WHERE a.status IN ('auto', 'confirmed') AND i.mfr_ref IS NOT NULL),
-dev AS (SELECT d.udi_di, d.actor_srn, CASE WHEN a.status = 'auto' THEN @replace_all(upper(d.reference), '[.]K[0-9]+$', '') ELSE d.reference END AS ref_key, d.device_status
-        FROM register_device d JOIN actor a ON a.srn = d.actor_srn),
-doc AS (SELECT item_ref, bool_or(type = 'DoC') AS has_doc, bool_or(regulation = 'MDR') AS has_mdr FROM current_link GROUP BY item_ref)
-SELECT o.item_ref, max(d.udi_di) AS udi_di, count(d.udi_di) AS devices, coalesce(bool_or(d.device_status = 'on-market'), false) AS on_market, coalesce(bool_or(c.has_doc), false) AS has_doc, coalesce(bool_or(c.has_mdr), false) AS has_mdr
-FROM own o LEFT JOIN dev d ON d.actor_srn = o.srn AND d.ref_key = upper(o.ref_key) LEFT JOIN doc c ON c.item_ref = o.item_ref GROUP BY o.item_ref""",
-    "v16_declaration_gap": """
-SELECT i.manufacturer_raw, d.device_status, count(*) AS devices, count(*) FILTER (WHERE i.md_flag) AS md_devices, bool_or(c.item_ref IS NOT NULL) AS any_doc
-FROM item i JOIN register_device d ON d.reference = i.mfr_ref LEFT JOIN (SELECT DISTINCT item_ref FROM current_link WHERE type = 'DoC') c ON c.item_ref = i.item_ref
-GROUP BY 1, 2 HAVING count(*) FILTER (WHERE c.item_ref IS NULL) > 0""",
-    "v17_gap_summary": """
-SELECT i.manufacturer_raw, count(DISTINCT i.item_ref) AS items, count(DISTINCT i.item_ref) FILTER (WHERE d.udi_di IS NOT NULL) AS registered,
-       count(DISTINCT i.item_ref) FILTER (WHERE d.device_status = 'on-market') AS on_market, count(DISTINCT i.item_ref) FILTER (WHERE d.udi_di IS NULL AND i.md_flag) AS md_missing
-FROM item i LEFT JOIN register_device d ON d.reference = i.mfr_ref GROUP BY 1""",
     "v18_sweep_delta": """
 SELECT d.actor_srn, count(*) FILTER (WHERE d.first_seen > DATE '1998-07-01') AS fresh, count(*) FILTER (WHERE d.last_seen > DATE '1998-07-01' AND d.first_seen <= DATE '1998-07-01') AS changed
 FROM register_device d GROUP BY 1 HAVING count(*) FILTER (WHERE d.first_seen > DATE '1998-07-01') > 0 OR count(*) FILTER (WHERE d.last_seen > DATE '1998-07-01') > 0""",
