@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlight.functions import identifiers, text
+from ledgerlight.session import cut
 
 #: The two spellings of one code (shank figure size; figure.shank.size), a variant suffix, a registration number of
 #: manufacturers, and what stands before a basic identifier.
@@ -113,8 +114,9 @@ def attribute_actors(actors: DataFrame, aliases: DataFrame, floor: float = 88.0)
     if not 0.85 <= r <= 1:
         raise ValueError("names of a ratio under 85 need not share a bigram")
     tokens = F.array_join(F.array_sort(F.split("fold", " ")), " ")
-    own = actors.select("actor").distinct().withColumn("fold", text.fold_actor_column(F.col("actor")))
-    known = aliases.select("canonical", text.fold_actor_column(F.col("alias")).alias("fold")).where("fold <> ''").distinct()
+    # folded once: they are used in several branches
+    own = cut(actors.select("actor").distinct().withColumn("fold", text.fold_actor_column(F.col("actor"))))
+    known = cut(aliases.select("canonical", text.fold_actor_column(F.col("alias")).alias("fold")).where("fold <> ''").distinct())
     asked = own.where("fold <> ''").select("fold").distinct()
     exact = asked.join(known, "fold").groupBy("fold").agg(F.min("canonical").alias("canonical"))
 
@@ -125,7 +127,7 @@ def attribute_actors(actors: DataFrame, aliases: DataFrame, floor: float = 88.0)
     # a bigram that comes twice counts as two
     numbered = F.transform("g", lambda x, i: F.concat(x, F.size(F.filter(F.slice("g", F.lit(1), i + 1), lambda y: y == x)).cast("string")))
     grams = listed.select("side", "name", F.explode(numbered).alias("gram"))
-    ranked = grams.join(grams.groupBy("gram").agg(F.count("*").alias("n")), "gram")
+    ranked = cut(grams.join(grams.groupBy("gram").agg(F.count("*").alias("n")), "gram"))
     at = F.row_number().over(Window.partitionBy("side", "name").orderBy("n", "gram"))
     size = F.length("name")
     lost = F.floor((1 - r) * (size + F.floor(size * (2 - r) / r + 1e-9)) + 1e-9)

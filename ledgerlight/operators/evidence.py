@@ -8,53 +8,43 @@ of equal steps the later one. A group holds one document's reads of one field an
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.session import shuffle_width
-
 #: The strength of each step.
 RANK = {"T0-guess": 0, "T1-second": 1, "doc-class": 1, "T1": 2, "T2-second": 3, "T2-first": 4, "T2": 5, "T0": 6}
 SETTLED = 0.95
 
 
-def strength(tier: str, conf: float | None) -> int:
-    return RANK["T0" if (conf or 0) >= SETTLED else "T0-guess"] if tier == "T0" else RANK.get(tier, 0)
+def strength(tier: Column, conf: Column) -> Column:
+    named = F.element_at(F.create_map(*[F.lit(x) for kv in RANK.items() for x in kv]), tier)
+    return F.when(tier == "T0", F.when(F.coalesce(conf, F.lit(0.0)) >= SETTLED, RANK["T0"]).otherwise(RANK["T0-guess"])).otherwise(F.coalesce(named, F.lit(0)))
 
 
-def better(held: dict, new: dict, field: str) -> dict:
-    if new["value"] is None or new["value"] == "":
-        return held
-    if held["value"] is None or held["value"] == "":
-        return new
-    model = held["tier"] != "T0" and new["tier"] != "T0"
-    if model and held["value"].strip().upper() == new["value"].strip().upper():
-        return new if (new["conf"] or 0) > (held["conf"] or 0) else held
-    if field == "ref_list":
-        longer = len(new["value"].split(",")) - len(held["value"].split(","))
-        if longer < 0 or (longer > 0 and held["tier"] == "T0" and (held["conf"] or 0) >= SETTLED):
-            return held
-        if longer > 0:
-            return new
-    return new if strength(new["tier"], new["conf"]) >= strength(held["tier"], held["conf"]) else held
+def better(held: Column, new: Column, listed: Column) -> Column:
+    """Which of two reads stays; listed: whether the field holds a list, with commas between."""
+    blank = lambda r: F.coalesce(r["value"], F.lit("")) == ""
+    conf = lambda r: F.coalesce(r["conf"], F.lit(0.0))
+    model = (F.coalesce(held["tier"], F.lit("")) != "T0") & (F.coalesce(new["tier"], F.lit("")) != "T0")
+    same = F.upper(F.trim(held["value"])) == F.upper(F.trim(new["value"]))
+    longer = F.size(F.split(new["value"], ",")) - F.size(F.split(held["value"], ","))
+    settled = (held["tier"] == "T0") & (conf(held) >= SETTLED)
+    return (
+        F.when(blank(new), held)
+        .when(blank(held), new)
+        .when(model & same, F.when(conf(new) > conf(held), new).otherwise(held))
+        .when(listed & ((longer < 0) | ((longer > 0) & F.coalesce(settled, F.lit(False)))), held)
+        .when(listed & (longer > 0), new)
+        .when(strength(new["tier"], new["conf"]) >= strength(held["tier"], held["conf"]), new)
+        .otherwise(held)
+    )
 
 
 def merge_reads(reads: DataFrame) -> DataFrame:
     """(doc_id, field, value, tier, conf, reads) from rows (doc_id, field, step, value, tier, conf)."""
-
-    def fold(slot: pd.DataFrame) -> pd.DataFrame:
-        rows = slot.drop(columns="slot").sort_values(["doc_id", "field", "step", "tier", "value"], na_position="first").astype(object)
-        rows = rows.where(rows.notna(), None).to_dict("records")
-        out: list[dict] = []
-        for r in rows:
-            if out and (out[-1]["doc_id"], out[-1]["field"]) == (r["doc_id"], r["field"]):
-                out[-1] = better(out[-1], r, r["field"]) | {"reads": out[-1]["reads"] + 1}
-            else:
-                out.append(r | {"reads": 1})
-        return pd.DataFrame(out, columns=["doc_id", "field", "value", "tier", "conf", "reads"])
-
-    # many small groups share a call: a slot holds whole groups and its number follows the shuffle's width
-    slots = 4 * shuffle_width(reads.sparkSession)
-    placed = reads.select("doc_id", "field", "step", "value", "tier", "conf", F.pmod(F.xxhash64("doc_id", "field"), F.lit(slots)).alias("slot"))
-    return placed.groupBy("slot").applyInPandas(fold, "doc_id long, field string, value string, tier string, conf double, reads long")
+    read = F.struct("step", "tier", "value", F.col("conf").cast("double").alias("conf"))
+    grouped = reads.groupBy("doc_id", "field").agg(F.array_sort(F.collect_list(read)).alias("reads"))
+    listed = F.col("field") == "ref_list"
+    folded = F.aggregate(F.slice("reads", 2, F.size("reads")), F.get("reads", F.lit(0)), lambda held, new: better(held, new, listed))
+    told = grouped.select("doc_id", "field", folded.alias("x"), F.size("reads").cast("long").alias("reads"))
+    return told.select("doc_id", "field", "x.value", "x.tier", "x.conf", "reads")

@@ -39,3 +39,21 @@ def _unfinished(pairs: DataFrame) -> bool:
     ends = F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))
     told = pairs.select(F.explode(ends).alias("e")).groupBy("e.x").agg(F.sum("e.up").alias("ups"), F.count("*").alias("n"))
     return told.where("ups > 1 or (ups = 1 and n > 1)").limit(1).count() > 0
+
+
+def roots(nodes: DataFrame, node: str = "id", parent: str = "parent") -> DataFrame:
+    """(id, root, depth): for each node of a forest the end of its line of parents, and how many steps lead there.
+
+    nodes: (id, parent), parent null at a root. Pointers are doubled: a round joins every node's pointer with the pointer's own, so
+    that rounds follow the logarithm of the longest line. Nodes whose line leads to a parent that isn't there, or into a circle, have no row.
+    """
+    top = F.col(parent).isNull()
+    first = nodes.where(F.col(node).isNotNull()).select(F.col(node).alias("id"), F.coalesce(F.col(parent), F.col(node)).alias("up"), F.when(top, 0).otherwise(1).cast("long").alias("depth"), top.alias("done"))
+    state = cut(first.dropDuplicates(["id"]))
+    nodes_n, span = state.count(), 1
+    while span <= nodes_n and state.where("not done").limit(1).count():  # a longer line than there are nodes goes round
+        open_ = state.where("not done")
+        ends = state.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("done").alias("ends"))
+        moved = open_.join(ends, "up").select("id", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.col("ends").alias("done"))
+        state, span = cut(state.where("done").unionByName(moved)), 2 * span
+    return state.where("done").select("id", F.col("up").alias("root"), "depth")

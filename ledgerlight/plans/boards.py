@@ -73,8 +73,8 @@ SELECT a.canonical_name, coalesce(d.n, 0) AS devices, coalesce(c.n, 0) AS certif
     "q30_onboarding_queue": "SELECT i.manufacturer_raw, count(DISTINCT i.item_ref) AS items FROM item i WHERE NOT EXISTS (SELECT 1 FROM alias a WHERE a.raw_name = i.manufacturer_raw) GROUP BY 1",
     "q31_missing_cards": "SELECT m.group_id, count(*) AS members, max(s.last_at) AS last_search FROM member m LEFT JOIN (SELECT group_id, max(seen_at) AS last_at FROM discovery GROUP BY 1) s ON s.group_id = m.group_id WHERE NOT EXISTS (SELECT 1 FROM current_link c WHERE c.item_ref = m.item_ref) GROUP BY 1",
     "q32_failed_split": """
-WITH dead AS (SELECT id, type, dedupe_key, coalesce(error, '') AS error FROM job WHERE status = 'dead'), newer AS (SELECT d.id, bool_or(n.status = 'done') AS redone FROM dead d JOIN job n ON n.dedupe_key = d.dedupe_key AND n.id > d.id GROUP BY d.id)
-SELECT CASE WHEN d.error = '' THEN 'developer' WHEN @matches(lower(d.error), 'time.?out') AND d.type = 'fetch.url' THEN 'timeout' WHEN @matches(d.error, 'not known') AND d.type = 'fetch.url' THEN 'dead-address' ELSE 'developer' END AS class, coalesce(n.redone, false) AS redone, count(*) AS n FROM dead d LEFT JOIN newer n ON n.id = d.id GROUP BY 1, 2""",
+WITH dead AS (SELECT id, type, dedupe_key, coalesce(error, '') AS error FROM job WHERE status = 'dead'), newer AS (SELECT dedupe_key, max(id) AS done_id FROM job WHERE status = 'done' GROUP BY 1)
+SELECT CASE WHEN d.error = '' THEN 'developer' WHEN @matches(lower(d.error), 'time.?out') AND d.type = 'fetch.url' THEN 'timeout' WHEN @matches(d.error, 'not known') AND d.type = 'fetch.url' THEN 'dead-address' ELSE 'developer' END AS class, coalesce(n.done_id > d.id, false) AS redone, count(*) AS n FROM dead d LEFT JOIN newer n ON n.dedupe_key = d.dedupe_key GROUP BY 1, 2""",
     "q33_dead_groups": "SELECT type, substr(coalesce(error, ''), 1, 10) AS signature, count(*) AS n, min(id) AS first_id, max(id) AS last_id FROM job WHERE status = 'dead' GROUP BY 1, 2",
     "q35_catalogue_summary": "SELECT i.catalogue, count(DISTINCT i.item_ref) AS items, count(DISTINCT c.doc_id) AS documents FROM item i LEFT JOIN current_link c ON c.item_ref = i.item_ref GROUP BY 1",
     "q36_item_fields": f"""
@@ -151,8 +151,6 @@ SELECT d.doc_id, coalesce(p.matched, 0) AS matched, coalesce(p.own, 0) AS own, C
     "x17_integrity_flags": "SELECT doc_id, count(*) AS reads, count(*) FILTER (WHERE value IS NULL) AS blank, CASE WHEN count(*) >= 7 THEN 'list-at-cap' WHEN count(*) FILTER (WHERE value IS NULL) > 0 THEN 'blank-field' ELSE '' END AS flag FROM evidence GROUP BY 1",
     "x18_calibrate": "SELECT doc_id, line, round(greatest(0.0, least(1.0, confidence * CASE tier WHEN 'T0' THEN 1.05 WHEN 'T1' THEN 0.95 ELSE 0.9 END)), 4) AS calibrated FROM (SELECT doc_id, line, CAST(confidence AS DOUBLE) AS confidence, tier, row_number() OVER (PARTITION BY doc_id, line ORDER BY printed_ref, tier, confidence) AS rn FROM evidence) x WHERE rn = 1",
     "x20_harvest_cache_key": "SELECT page_id, @sha256(CAST(page_id AS STRING) || ':' || url) AS cache_key FROM pages",
-    "g01_combined_confidence": "SELECT doc_id, field, round(CASE WHEN count(*) > 1 AND min(confidence) >= 0.7 THEN 1 - (1 - max(confidence)) * (1 - min(confidence)) ELSE max(confidence) END, 4) AS combined FROM (SELECT doc_id, field, CAST(confidence AS DOUBLE) AS confidence FROM evidence WHERE value IS NOT NULL) e GROUP BY 1, 2",
-    "g02_score": "SELECT e.doc_id, round(min(e.c), 4) AS score FROM (SELECT doc_id, field, max(CAST(confidence AS DOUBLE)) AS c FROM evidence WHERE field IN ('type', 'regulation', 'coverage_scope') GROUP BY 1, 2) e JOIN document d ON d.doc_id = e.doc_id WHERE NOT (e.field = 'coverage_scope' AND d.type IN ('EC', 'ISO')) GROUP BY 1",
     "g03_disposition": f"""
 WITH s AS (SELECT doc_id, min(c) AS score FROM (SELECT doc_id, field, max(CAST(confidence AS DOUBLE)) AS c FROM evidence WHERE field <> 'ref_list' GROUP BY 1, 2) x GROUP BY 1), l AS (SELECT doc_id, count(*) AS links FROM link GROUP BY 1),
 f AS (SELECT d.doc_id, coalesce(s.score, 0.0) AS score, coalesce(l.links, 0) AS links, d.coverage_scope, d.status = 'superseded' AS superseding, d.validity_to < d.validity_from AS blocking, d.validity_from > {AS_OF} AS gating FROM document d LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN l ON l.doc_id = d.doc_id)
@@ -188,7 +186,6 @@ SELECT count(*) FILTER (WHERE n.item_ref IS NOT NULL) AS seen, count(*) FILTER (
     "z02_claim": "SELECT id, CAST(attempts + 1 AS BIGINT) AS attempts FROM job WHERE (status IN ('pending', 'failed') AND run_after <= TIMESTAMP '2024-01-20 00:00:00') OR (status = 'running' AND created_at < TIMESTAMP '2024-01-19 23:30:00') ORDER BY CASE priority WHEN 'high' THEN 0 WHEN 'normal' THEN 1 ELSE 2 END, run_after, id LIMIT 100",
     "z03_fail_backoff": "SELECT id, CASE WHEN attempts >= max_attempts THEN 'dead' ELSE 'failed' END AS status, CAST(least(5 * power(2, greatest(attempts, 1) - 1), 3600) AS BIGINT) AS delay_s FROM job WHERE status = 'failed'",
     "z04_defer": "SELECT id, CAST(greatest(attempts - 1, 0) AS BIGINT) AS attempts FROM job WHERE status = 'running'",
-    "z05_domain_lease": "WITH h AS (SELECT page_id, @extract(lower(url), '://([^/:?#]+)', 1) AS host FROM pages), o AS (SELECT page_id, host, CAST(row_number() OVER (PARTITION BY host ORDER BY page_id) AS BIGINT) AS n FROM h) SELECT page_id, host, (n - 1) * greatest(2000, 500) AS start_ms FROM o",
     "z06_finish_closes_tasks": "SELECT t.id FROM task t WHERE t.kind = 'dead-job' AND t.status = 'open' AND EXISTS (SELECT 1 FROM job j WHERE j.status = 'done' AND j.user_id + 10 = t.group_id AND j.id > t.id)",
     "z07_tick_ledger": "SELECT type, @week(@day(created_at)) AS period, min(id) AS first_id, count(*) AS runs FROM job GROUP BY 1, 2",
     "z08_expiry_scan": f"SELECT manufacturer, period, doc_id FROM (SELECT d.manufacturer, @week(e.expires) AS period, d.doc_id, row_number() OVER (PARTITION BY d.manufacturer, @week(e.expires) ORDER BY d.doc_id) AS rn FROM document d JOIN expiry e ON e.doc_id = d.doc_id WHERE e.expires BETWEEN {AS_OF} AND @plus_days({AS_OF}, 30)) x WHERE rn = 1",
@@ -223,10 +220,6 @@ SELECT count(*) FILTER (WHERE n.item_ref IS NOT NULL) AS seen, count(*) FILTER (
 }
 
 SQL |= {
-    "q34_upload_outcomes": """
-WITH RECURSIVE walk(id, root) AS (SELECT id, id FROM job WHERE caused_by IS NULL UNION ALL SELECT j.id, w.root FROM job j JOIN walk w ON j.caused_by = w.id),
-last AS (SELECT root, max(id) AS last_id, count(*) AS steps FROM walk GROUP BY 1)
-SELECT l.root, l.steps, j.type AS last_type, CASE WHEN j.status = 'dead' THEN 'failed' WHEN j.status = 'done' THEN 'finished' ELSE 'under way' END AS outcome FROM last l JOIN job j ON j.id = l.last_id""",
     "t14_renewal_period": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN @week(validity_from) ELSE CAST(extract(YEAR FROM validity_from) AS STRING) || '-P' || lpad(CAST(CAST(floor((extract(DOY FROM validity_from) - 1) / 10) AS BIGINT) AS STRING), 3, '0') END AS period FROM document WHERE validity_from IS NOT NULL",
     "t21_page_numbers": "SELECT page_id, url || '&p=' || CAST(n AS STRING) AS page_url FROM (SELECT page_id, url, @explode(@range(1, CAST(1 + page_id % 4 AS INT))) AS n FROM pages WHERE contains(url, '?')) x",
 }

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from ledgerlight.functions import identifiers, text, web
 from ledgerlight.operators.evidence import merge_reads
-from ledgerlight.operators.graph import components
+from ledgerlight.operators.graph import components, roots
 from ledgerlight.operators.merge import upsert
 from ledgerlight.operators.resolve import resolve
 from ledgerlight.plans.dialect import duck_sql, run
 from ledgerlight.session import ready_checkpoints, table
-from ledgerlight.streaming import incremental
+from ledgerlight.streaming import incremental, leases
 
 ROBOTS = """
 User-agent: *
@@ -77,6 +77,32 @@ SELECT id, max(CASE WHEN starts THEN id END) OVER (PARTITION BY id % 3 ORDER BY
 """
 
 
+def _lines_of_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return roots(run(spark, sf_dir, "SELECT id, caused_by AS parent FROM job"))
+
+
+def u05_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The jobs that each first job has caused, and how many steps away the last one is."""
+    return _lines_of_jobs(spark, sf_dir).groupBy("root").agg(F.count("*").alias("jobs"), F.max("depth").alias("depth"))
+
+
+U05_SQL = """WITH RECURSIVE walk(id, root, depth) AS (SELECT id, id, 0 FROM job WHERE caused_by IS NULL UNION ALL SELECT j.id, w.root, w.depth + 1 FROM job j JOIN walk w ON j.caused_by = w.id) SELECT root, count(*) AS jobs, CAST(max(depth) AS BIGINT) AS depth FROM walk GROUP BY 1"""
+
+
+def q34_upload_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the last job that each first job has caused stands."""
+    last = _lines_of_jobs(spark, sf_dir).groupBy("root").agg(F.max("id").alias("id"), F.count("*").alias("steps"))
+    jobs = run(spark, sf_dir, "SELECT id, type AS last_type, status FROM job")
+    outcome = F.when(F.col("status") == "dead", "failed").when(F.col("status") == "done", "finished").otherwise("under way")
+    return last.join(jobs, "id").select("root", "steps", "last_type", outcome.alias("outcome"))
+
+
+Q34_SQL = """
+WITH RECURSIVE walk(id, root) AS (SELECT id, id FROM job WHERE caused_by IS NULL UNION ALL SELECT j.id, w.root FROM job j JOIN walk w ON j.caused_by = w.id),
+last AS (SELECT root, max(id) AS last_id, count(*) AS steps FROM walk GROUP BY 1)
+SELECT l.root, l.steps, j.type AS last_type, CASE WHEN j.status = 'dead' THEN 'failed' WHEN j.status = 'done' THEN 'finished' ELSE 'under way' END AS outcome FROM last l JOIN job j ON j.id = l.last_id"""
+
+
 def x12_merge_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     reads = run(spark, sf_dir, "SELECT doc_id, field, CAST(line AS BIGINT) AS step, value, tier, CAST(confidence AS DOUBLE) AS conf FROM evidence")
     return merge_reads(reads)
@@ -103,6 +129,23 @@ FROM o FULL JOIN n ON o.item_ref = n.item_ref AND o.doc_id = n.doc_id
 """
 
 
+ASKED = "SELECT domain, id, at_ms FROM (SELECT @extract(lower(url), '://([^/:?#]+)', 1) AS domain, page_id AS id, page_id * 700 AS at_ms FROM pages) x WHERE domain <> ''"
+FLOORS = "SELECT DISTINCT domain, 1500 * (length(domain) % 4) AS min_politeness_ms FROM (SELECT @extract(lower(url), '://([^/:?#]+)', 1) AS domain FROM pages) x WHERE domain <> ''"
+
+
+def z05_domain_lease(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which requests to a host are granted, and how long its lease then runs."""
+    asked = run(spark, sf_dir, ASKED).withColumnRenamed("at_ms", "at")
+    return leases.grant_leases(asked, run(spark, sf_dir, FLOORS)).withColumnRenamed("at", "at_ms")
+
+
+#: From each granted request on to the first one that its lease allows.
+Z05_SQL = f"""
+WITH RECURSIVE r AS (SELECT a.domain, a.id, a.at_ms, greatest(2000, f.min_politeness_ms) AS gap FROM ({ASKED}) a JOIN ({FLOORS}) f USING (domain)),
+g AS (SELECT domain, min(at_ms) AS t, any_value(gap) AS gap FROM r GROUP BY domain UNION ALL SELECT g.domain, (SELECT min(r.at_ms) FROM r WHERE r.domain = g.domain AND r.at_ms >= g.t + g.gap) AS t, g.gap FROM g WHERE g.t IS NOT NULL)
+SELECT r.domain, r.id, r.at_ms, g.t IS NOT NULL AS granted, (SELECT max(h.t) FROM g h WHERE h.domain = r.domain AND h.t <= r.at_ms) + r.gap AS leased_until FROM r LEFT JOIN g ON g.domain = r.domain AND g.t = r.at_ms"""
+
+
 def z_stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The streaming window counts, run to the end of what is there."""
     ready_checkpoints(spark)
@@ -123,6 +166,6 @@ HAVING CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) -
 QUERIES = {
     "t01_fold": t01_fold, "t02_fold_actor": t02_fold_actor, "t15_check_pair": t15_check_pair, "t20_harvest": t20_harvest, "t22_robots": t22_robots,
     "t26_trigram_similarity": t26_trigram_similarity, "t27_ratios": t27_ratios, "a18_components": a18_components, "x12_merge_reads": x12_merge_reads,
-    "r01_resolve": r01_resolve, "m02_upsert_operator": m02_upsert_operator, "z_stream_windows": z_stream_windows,
+    "u05_lineage": u05_lineage, "z05_domain_lease": z05_domain_lease, "q34_upload_outcomes": q34_upload_outcomes, "r01_resolve": r01_resolve, "m02_upsert_operator": m02_upsert_operator, "z_stream_windows": z_stream_windows,
 }
-ORACLES = {"a18_components": A18_SQL, "m02_upsert_operator": duck_sql(M02_SQL), "z_stream_windows": Z_SQL}
+ORACLES = {"z05_domain_lease": duck_sql(Z05_SQL), "u05_lineage": duck_sql(U05_SQL), "q34_upload_outcomes": duck_sql(Q34_SQL), "a18_components": A18_SQL, "m02_upsert_operator": duck_sql(M02_SQL), "z_stream_windows": Z_SQL}

@@ -7,12 +7,13 @@ registry projection (see projection.py) are prepended as common table expression
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlight.plans.projection import BASE_TABLES, RELATIONS
-from ledgerlight.session import table
+from ledgerlight.session import ready_checkpoints, table
 
 MACROS: dict[str, tuple[str, str]] = {
     # name: (Spark, DuckDB); {0}, {1}, ... are the arguments
@@ -47,6 +48,7 @@ MACROS: dict[str, tuple[str, str]] = {
     "date": ("try_cast({0} AS DATE)", "try_cast({0} AS DATE)"),
     "reverse": ("reverse({0})", "reverse({0})"),
     "sha256": ("sha2(CAST({0} AS BINARY), 256)", "sha256({0})"),
+    "hash48": ("CAST(conv(substr(md5(CAST({0} AS BINARY)), 1, 12), 16, 10) AS BIGINT)", "CAST('0x' || substr(md5({0}), 1, 12) AS BIGINT)"),
     "md5": ("md5(CAST({0} AS BINARY))", "md5({0})"),
 }
 
@@ -85,21 +87,22 @@ def write_out(text: str, engine: int) -> str:
     return text
 
 
-def with_relations(text: str) -> str:
-    """The text with the relations of the projection that it needs in front."""
+def with_relations(text: str, kept: dict[str, str] | None = None) -> str:
+    """The text with the relations of the projection that it needs in front; kept: views that hold some of them already."""
     needed: list[str] = []
+    relations = RELATIONS | {name: f"SELECT * FROM {view}" for name, view in (kept or {}).items()}
 
     def need(part: str) -> None:
-        for name in RELATIONS:
+        for name in relations:
             if name not in needed and re.search(rf"\b{name}\b", part) and not re.search(rf"\b{name} AS \(", text):
-                need(RELATIONS[name])
+                need(relations[name])
                 if name not in needed:
                     needed.append(name)
 
     need(text)
     if not needed:
         return text
-    heads = ",\n".join(f"{n} AS ({RELATIONS[n].strip()})" for n in needed)
+    heads = ",\n".join(f"{n} AS ({relations[n].strip()})" for n in needed)
     body = text.strip()
     if m := re.match(r"WITH( RECURSIVE)?\s+", body):
         return f"WITH{m[1] or ''} {heads},\n{body[m.end() :]}"
@@ -114,9 +117,42 @@ def duck_sql(text: str) -> str:
     return write_out(with_relations(text), 1)
 
 
+#: Views of relations that keep_relations() has written, by session and data folder.
+_KEPT: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def keep_relations(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = ("expiry", "history")) -> dict[str, int]:
+    """Write relations of a data folder once, for all queries of this session that follow; the number of rows of each.
+
+    They are Parquet in the shared checkpoint folder, so that queries read the columns and rows that they need. What is
+    kept stands for the folder as it was: call it again, or drop_relations(), when the tables have changed.
+    """
+    ready_checkpoints(spark)
+    drop_relations(spark, sf_dir)
+    kept, rows = {}, {}
+    for name in names:
+        token = uuid.uuid4().hex
+        folder = f"{spark.sparkContext.getCheckpointDir()}/relations-{token}"
+        _run(spark, sf_dir, write_out(with_relations(f"SELECT * FROM {name}", kept), 0)).write.parquet(folder)
+        held = spark.read.parquet(folder)
+        held.createOrReplaceTempView(f"kept_{token}")
+        kept[name], rows[name] = f"kept_{token}", held.count()
+    _KEPT[spark.sparkContext.applicationId, sf_dir] = kept
+    return rows
+
+
+def drop_relations(spark: SparkSession, sf_dir: str) -> None:
+    """Forget what keep_relations() has written for a data folder."""
+    for view in _KEPT.pop((spark.sparkContext.applicationId, sf_dir), {}).values():
+        spark.catalog.dropTempView(view)
+
+
 def run(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """The text's result over the tables of the folder."""
-    text = spark_sql(text)
+    return _run(spark, sf_dir, write_out(with_relations(text, _KEPT.get((spark.sparkContext.applicationId, sf_dir))), 0))
+
+
+def _run(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     for name in BASE_TABLES:
         if re.search(rf"\b{name}\b", text):
             table(spark, sf_dir, name).createOrReplaceTempView(name)

@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.functions import claims, classify, printed
+from ledgerlight.operators.extract import text_fields
 from ledgerlight.operators.names import manufacturer_of
 from ledgerlight.operators.picker import search_items
 from ledgerlight.plans.dialect import duck_sql, run
 from ledgerlight.session import table
 from ledgerlight.sources.paged import walk_pages
+from ledgerlight.sources.pages import bounded_text, is_scan
 
 MONTHS_EN = "January February March April May June July August September October November December".split()
 MONTHS_DE = "Januar Februar März April Mai Juni Juli August September Oktober November Dezember".split()
@@ -288,6 +290,60 @@ def x05_certificate_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 X05_SQL = """
 SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN '0675GB' || doc_id WHEN 1 THEN 'D10026' || doc_id WHEN 3 THEN 'DE-' || doc_id WHEN 4 THEN 'G1 ' || doc_id END AS number FROM documents"""
 
+# ---- all fields of a text
+
+WHOLE = _case(
+    "doc_id % 4",
+    [
+        f"'EU Declaration of Conformity\\nManufacturer: ' || {_NAME.format('')} || '\\nRegulation (EU) 2017/745, risk class IIa\\nIssue Date: ' || {_ISO} || '\\nREF #\\n' || {_C} || '\\nSignature'",
+        f"'Invoice\\nDeclaration of conformity\\nIssue Date: ' || {_ISO}",
+        f"'EC Certificate\\nCertificate No. G1 ' || {_C} || '\\nFolgetext gilt ab: ' || {_ISO} || '\\n' || {_NAME.format('')} || '\\nREF #\\n' || {_C}",
+        "'nothing'",
+    ],
+)
+
+
+def x11_text_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and fields of each document, with what its manufacturer's rules add."""
+    docs = _with_passage(spark, sf_dir, WHOLE)
+    docs = docs.select("doc_id", F.array(F.concat_ws("\n", "passage", "head"), "tail").alias("pages"), F.when(F.col("doc_id") % 4 == 3, "x/ifu_1.pdf").otherwise("ifu/scan.pdf").alias("filename"))
+    names = table(spark, sf_dir, "supplier").selectExpr("concat('maker ', s_suppkey) AS entity", "concat(s_name, ' Dental GmbH & Co. KG') AS name")
+    rules = names.where("entity <> 'maker 3'").selectExpr("entity", "array('nie') AS until_labels", "array('gilt ab') AS from_labels", "CAST(NULL AS STRING) AS cert_pattern", "CAST(NULL AS STRING) AS ref_pattern")
+    found = text_fields(docs, names, rules, [("none", ["not there"]), ("certificate", ["Zertifikat", "EC certificate"]), ("any", ["e"])])
+    flat = [F.col(f"{c}.{p}").alias(c if p == "value" else f"{c}_{p}") for c in ("manufacturer", "type", "coverage_scope") for p in ("value", "conf")]
+    return found.select(
+        "doc_id", "doc_class", *flat, F.col("regulation.value").alias("regulation"), F.col("cert_number.value").alias("cert_number"), F.col("stated_class.value").alias("stated_class"), F.col("validity_to.value").alias("validity_to"),
+        F.col("validity_from.value").alias("validity_from"), F.array_join("ref_list.value", ",").alias("ref_list"), F.when(F.col("doc_id") % 4 == 2, F.col("template")).alias("template"),
+    )
+
+
+X11_SQL = f"""
+WITH d AS (SELECT doc_id, doc_id % 4 AS s, 1 + doc_id % 10 AS n, {_sql_iso()} AS day, CAST(1000 + doc_id % 8000 AS VARCHAR) AS c FROM documents)
+SELECT doc_id, CASE s WHEN 1 THEN 'business-doc' WHEN 3 THEN 'unknown' ELSE 'compliance-doc' END AS doc_class, CASE WHEN s IN (0, 2) THEN 'maker ' || n END AS manufacturer, CASE WHEN s IN (0, 2) THEN 0.97::DOUBLE END AS manufacturer_conf,
+  CASE s WHEN 0 THEN 'DoC' WHEN 2 THEN 'EC' WHEN 3 THEN 'IFU' END AS type, CASE s WHEN 0 THEN 1.0 WHEN 2 THEN 1.0 WHEN 3 THEN 0.6 END::DOUBLE AS type_conf, CASE s WHEN 0 THEN 'group' WHEN 2 THEN 'manufacturer' WHEN 3 THEN 'group' END AS coverage_scope,
+  CASE s WHEN 0 THEN 0.97 WHEN 2 THEN 1.0 WHEN 3 THEN 0.6 END::DOUBLE AS coverage_scope_conf, CASE s WHEN 0 THEN 'MDR' END AS regulation, CASE s WHEN 2 THEN 'G1 ' || c END AS cert_number, CASE s WHEN 0 THEN 'IIa' END AS stated_class, CAST(NULL AS DATE) AS validity_to,
+  CASE WHEN s = 0 OR s = 2 AND n <> 3 THEN day END AS validity_from, CASE s WHEN 0 THEN c END AS ref_list, CASE s WHEN 2 THEN 'certificate' END AS template
+FROM d"""
+
+# ---- pages
+
+PAGED = _case("doc_id % 4", ["''", "'  page with a picture  '", "'cover'", "repeat('y', 500)"])
+
+
+def s09_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document as three pages within a budget of 3,000 characters: what is handed on, how much is dropped, whether it is a scan."""
+    docs = _with_passage(spark, sf_dir, PAGED)
+    pages = F.array(F.col("passage"), F.col("head"), F.concat(F.col("tail"), F.lit("\x00")))
+    docs = docs.select("doc_id", bounded_text(pages, 3000).alias("x"), is_scan(pages).alias("scan"))
+    return docs.select("doc_id", F.length("x.text").cast("long").alias("characters"), F.md5(F.encode("x.text", "utf-8")).alias("text_md5"), F.col("x.dropped").alias("dropped"), "scan")
+
+
+S09_SQL = """
+WITH d AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN '  page with a picture  ' WHEN 2 THEN 'cover' ELSE repeat('y', 500) END AS one, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) // 2 AS INTEGER) AS half FROM documents),
+w AS (SELECT doc_id, '[[page 1]]' || chr(10) || one || chr(10) || '[[page 2]]' || chr(10) || left(t, half) || chr(10) || '[[page 3]]' || chr(10) || substr(t, half + 1) AS whole FROM d),
+c AS (SELECT doc_id, CASE WHEN length(whole) > 3000 THEN left(whole, 3000) || chr(10) || '[[truncated: document continues beyond this point]]' ELSE whole END AS text, greatest(length(whole) - 3000, 0) AS dropped FROM w)
+SELECT doc_id, length(text) AS characters, md5(text) AS text_md5, dropped, doc_id % 4 IN (0, 1, 2) AND NOT doc_id % 4 = 1 OR doc_id % 4 = 1 AND length('page with a picture') < 20 AS scan FROM c"""
+
 # ---- item search
 
 ASKED = """SELECT s_suppkey AS ask_id, 'Brand#' || CAST(1 + s_suppkey % 25 AS STRING) AS manufacturer,
@@ -346,11 +402,11 @@ FROM s"""
 
 QUERIES = {
     "x01_document_class": x01_document_class, "x02_type_by_marker": x02_type_by_marker, "x03_regulation": x03_regulation, "x04_stated_class": x04_stated_class, "x05_certificate_number": x05_certificate_number,
-    "r13_picker": r13_picker, "s23_register_walk": s23_register_walk,
+    "x11_text_fields": x11_text_fields, "s09_page_text": s09_page_text, "r13_picker": r13_picker, "s23_register_walk": s23_register_walk,
     "x07_labelled_dates": x07_labelled_dates, "x08_reference_list": x08_reference_list, "x10_named_manufacturer": x10_named_manufacturer, "t12_printed_date": t12_printed_date, "x15_settled": x15_settled,
 }
 ORACLES = {name: sql.replace("AS STRING", "AS VARCHAR") for name, sql in {
     "x01_document_class": X01_SQL, "x02_type_by_marker": X02_SQL, "x03_regulation": X03_SQL, "x04_stated_class": X04_SQL, "x05_certificate_number": X05_SQL,
-    "r13_picker": duck_sql(R13_SQL), "s23_register_walk": S23_SQL,
+    "x11_text_fields": X11_SQL, "s09_page_text": S09_SQL, "r13_picker": duck_sql(R13_SQL), "s23_register_walk": S23_SQL,
     "x07_labelled_dates": X07_SQL, "x08_reference_list": X08_SQL, "x10_named_manufacturer": X10_SQL, "t12_printed_date": T12_SQL, "x15_settled": X15_SQL,
 }.items()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.functions import dates, identifiers, references
+from ledgerlight.functions import dates, identifiers, references, sql
 from ledgerlight.plans.dialect import duck_sql, run
 from ledgerlight.session import table
 
@@ -39,12 +39,21 @@ def t06_normalise_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir, REFS).select("p_partkey", references.normalise_ref(F.col("ref"), F.expr(STRATEGY)).alias("normal"))
 
 
+def f03_sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folds as functions that SQL text calls, by a table of rules."""
+    sql.register(spark)
+    run(spark, sf_dir, f"SELECT *, {STRATEGY} AS strategy FROM ({REFS}) x").createOrReplaceTempView("printed_refs")
+    return spark.sql("SELECT p_partkey, fold_code(ref) AS folded, register_key(ref) AS ref_key, normalise_ref(ref, strategy) AS normal FROM printed_refs")
+
+
 F01_SQL = f"SELECT p_partkey, ref, folded FROM ({_folded(f'({REFS}) x')}) z"
 F02_SQL = f"""SELECT p_partkey, folded AS ref_key FROM ({_folded(f'''(SELECT p_partkey, CASE WHEN len(s) > 1 AND regexp_full_match(s[-1], '[A-Za-z][0-9A-Za-z]{{0,2}}') THEN left(ref, length(ref) - length(s[-1]) - 1) ELSE ref END AS ref
 FROM (SELECT *, string_split(ref, '.') AS s FROM ({REFS}) r) q) x''')}) z"""
 T06_SQL = f"""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN ref WHEN 1 THEN CASE WHEN regexp_full_match(ref, '[0-9]+[A-Za-z]{{1,3}}') THEN rtrim(ref, 'ABCDX') ELSE ref END ELSE folded END AS normal
 FROM ({_folded(f'({REFS}) x')}) z"""
 
+F03_SQL = f"SELECT a.p_partkey, a.folded, b.ref_key, c.normal FROM ({F01_SQL}) a JOIN ({F02_SQL}) b USING (p_partkey) JOIN ({T06_SQL}) c USING (p_partkey)"
+
 STORED = "SELECT o_orderkey AS doc_id, CASE WHEN o_orderkey % 20 = 0 THEN 'n.d.' ELSE '199' || CAST(o_orderkey % 10 AS STRING) || '-' || lpad(CAST(o_orderkey % 14 AS STRING), 2, '0') || '-' || lpad(CAST(o_orderkey % 34 AS STRING), 2, '0') END AS stored FROM orders"
 
 
@@ -128,11 +137,11 @@ def r15_actor_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "f01_fold_code": f01_fold_code, "f02_register_key": f02_register_key, "t06_normalise_ref": t06_normalise_ref, "t09_parse_date": t09_parse_date,
+    "f01_fold_code": f01_fold_code, "f02_register_key": f02_register_key, "f03_sql_functions": f03_sql_functions, "t06_normalise_ref": t06_normalise_ref, "t09_parse_date": t09_parse_date,
     "t10_parse_printed_date": t10_parse_printed_date, "t24_actor_numbers": t24_actor_numbers, "x06_basic_identifier": x06_basic_identifier,
     "r12_near_matches": r12_near_matches, "r15_actor_attribution": r15_actor_attribution,
 }
 ORACLES = {
-    "f01_fold_code": F01_SQL, "f02_register_key": F02_SQL, "t06_normalise_ref": T06_SQL, "t09_parse_date": T09_SQL, "t10_parse_printed_date": T10_SQL,
+    "f01_fold_code": F01_SQL, "f02_register_key": F02_SQL, "f03_sql_functions": F03_SQL, "t06_normalise_ref": T06_SQL, "t09_parse_date": T09_SQL, "t10_parse_printed_date": T10_SQL,
     "t24_actor_numbers": T24_SQL, "r12_near_matches": duck_sql(R12_SQL),
 }

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlight.functions import identifiers, text, web
-from ledgerlight.operators.evidence import better, merge_reads
-from ledgerlight.operators.graph import components
+from ledgerlight.operators.evidence import merge_reads
+from ledgerlight.operators.graph import components, roots
 from ledgerlight.operators.merge import upsert
 from ledgerlight.operators.resolve import resolve
 from ledgerlight.sources import readers
@@ -75,16 +75,34 @@ def test_trigram_similarity(spark):
 
 
 def test_evidence_merge(spark):
-    read = lambda step, value, tier, conf: {"step": step, "value": value, "tier": tier, "conf": conf}
-    assert better(read(1, "x", "T2", 0.5), read(2, "", "T0", 1.0), "type")["value"] == "x"
-    assert better(read(1, "x", "T0", 0.99), read(2, "y", "T2", 0.9), "type")["value"] == "x"
-    assert better(read(1, "x", "T1", 0.9), read(2, "y", "T1", 0.1), "type")["value"] == "y"
-    assert better(read(1, "X", "T1", 0.9), read(2, "x ", "T2", 0.8), "type")["conf"] == 0.9
-    assert better(read(1, "a,b", "T2", 0.9), read(2, "a", "T0", 1.0), "ref_list")["value"] == "a,b"
-    assert better(read(1, "a", "T0", 0.99), read(2, "a,b", "T2", 0.9), "ref_list")["value"] == "a"
-    rows = [(1, "type", 1, None, "T0", None), (1, "type", 2, "DoC", "T1", 0.8), (1, "type", 3, "EC", "T0", 0.5), (2, "type", 1, None, "T0", None)]
-    got = merge_reads(spark.createDataFrame(rows, "doc_id long, field string, step long, value string, tier string, conf double")).orderBy("doc_id").collect()
-    assert [(r["value"], r["reads"]) for r in got] == [("DoC", 3), (None, 1)]
+    pairs = [
+        ("type", ("x", "T2", 0.5), ("", "T0", 1.0), ("x", 0.5)), ("type", ("x", "T0", 0.99), ("y", "T2", 0.9), ("x", 0.99)), ("type", ("x", "T1", 0.9), ("y", "T1", 0.1), ("y", 0.1)), ("type", ("X", "T1", 0.9), ("x ", "T2", 0.8), ("X", 0.9)),
+        ("ref_list", ("a,b", "T2", 0.9), ("a", "T0", 1.0), ("a,b", 0.9)), ("ref_list", ("a", "T0", 0.99), ("a,b", "T2", 0.9), ("a", 0.99)), ("ref_list", ("a", "T0", 0.5), ("a,b", "T2", 0.9), ("a,b", 0.9)), ("type", ("x", None, None), ("y", "T0", None), ("y", None)),
+    ]
+    rows = [(i, field, step, *read) for i, (field, first, second, _) in enumerate(pairs, 10) for step, read in ((1, first), (2, second))]
+    rows += [(1, "type", 1, None, "T0", None), (1, "type", 2, "DoC", "T1", 0.8), (1, "type", 3, "EC", "T0", 0.5), (2, "type", 1, None, "T0", None)]
+    merged = merge_reads(spark.createDataFrame(rows, "doc_id long, field string, step long, value string, tier string, conf double"))
+    got = {r["doc_id"]: r for r in merged.collect()}
+    assert [(got[i]["value"], got[i]["conf"]) for i in range(10, 10 + len(pairs))] == [p[3] for p in pairs]
+    assert [(got[i]["value"], got[i]["reads"]) for i in (1, 2)] == [("DoC", 3), (None, 1)]
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_roots(spark):
+    rng = random.Random(9)
+    parent = {i: rng.choice([None, rng.randrange(i)]) if i else None for i in range(120)} | {1000 + i: 1000 + i - 1 if i else None for i in range(300)}
+    parent |= {2000: 2001, 2001: 2002, 2002: 2000, 2003: 2000, 2004: 9999, 2005: 2004}  # a circle, and parents that aren't there
+    want = {}
+    for i in parent:
+        at, depth = i, 0
+        while parent.get(at) is not None and depth < 999:
+            at, depth = parent[at], depth + 1
+        if at in parent and parent[at] is None:
+            want[i] = (at, depth)
+    got = roots(spark.createDataFrame(list(parent.items()), "id long, parent long"))
+    assert {r["id"]: (r["root"], r["depth"]) for r in got.collect()} == want
+    assert roots(spark.createDataFrame([], "id long, parent long")).count() == 0
 
 
 def test_components(spark):

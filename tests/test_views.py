@@ -134,8 +134,8 @@ def test_no_id_ranges(spark, seeded):
     got = lambda name: sorted(tuple(r) for r in registry.QUERIES[name](spark, sf).collect())
     assert got("j17_null_safe_key") == [("P1", 2), ("P9000", 2), ("P9001", 1)]
     assert got("j13_scalar_beside") == [("P1", 1), ("P9000", 1), ("P9001", 1)]
-    assert got("a16_fingerprint") == [("DoC", hashlib.md5(b"9000000").hexdigest())]
-    assert got("a12_json_aggregate") == [("production", '{"DoC9000000"}')]
+    h = int(hashlib.md5(b"9000000").hexdigest()[:12], 16)
+    assert got("a16_fingerprint") == [("DoC", 1, h % 1000003, h)]
     assert got("m05_insert_if_absent") == [(5002, "m")]
 
 
