@@ -50,6 +50,8 @@ MACROS: dict[str, tuple[str, str]] = {
     "sha256": ("sha2(CAST({0} AS BINARY), 256)", "sha256({0})"),
     "hash48": ("CAST(conv(substr(md5(CAST({0} AS BINARY)), 1, 12), 16, 10) AS BIGINT)", "CAST('0x' || substr(md5({0}), 1, 12) AS BIGINT)"),
     "md5": ("md5(CAST({0} AS BINARY))", "md5({0})"),
+    # {0} = {1} of a left join where {1} is mostly null: by the row's own id {2} such rows go to all tasks, and match nothing
+    "sparse_key": ("{0} = coalesce({1}, -1 - {2}) AND {1} IS NOT NULL", "{0} = {1}"),
 }
 
 

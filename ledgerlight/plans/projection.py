@@ -86,7 +86,7 @@ SELECT d.doc_id, d.type, d.status, d.validity_to AS own_to, c.validity_to AS cer
             WHEN d.validity_to IS NOT NULL AND c.validity_to IS NULL AND (d.type <> 'DoC' OR d.validity_from IS NULL) THEN 'stated'
             WHEN c.validity_to IS NOT NULL AND c.validity_to <= coalesce(CASE WHEN d.type = 'DoC' THEN CAST(d.validity_from + INTERVAL '60' MONTH AS DATE) END, c.validity_to) THEN 'inherited'
             WHEN d.type = 'DoC' AND d.validity_from IS NOT NULL THEN 'staleness' END AS basis
-FROM document d LEFT JOIN document c ON c.doc_id = d.cert_doc_id AND c.status IN ('production', 'superseded')""",
+FROM document d LEFT JOIN document c ON @sparse_key(c.doc_id, d.cert_doc_id, d.doc_id) AND c.status IN ('production', 'superseded')""",
     "history": f"""
 SELECT l.item_ref, l.doc_id, l.match_basis, d.type, d.regulation, d.validity_from, d.status AS doc_status, e.expires, e.basis,
        rank() OVER (PARTITION BY l.item_ref, d.type ORDER BY CASE WHEN d.regulation = 'MDR' THEN 0 ELSE 1 END, CASE WHEN d.validity_from <= {AS_OF} THEN d.validity_from END DESC NULLS LAST) = 1 AS current
