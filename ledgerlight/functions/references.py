@@ -97,7 +97,8 @@ def near_matches(printed: DataFrame, items: DataFrame) -> DataFrame:
     asked = asked.select("manufacturer", "printed_ref", F.explode(F.concat(first, whole, ends)).alias("p"))
     asked = asked.select("manufacturer", "printed_ref", "p.t", "p.k", "p.rank").where("k <> ''")
 
-    met = asked.join(own, ["manufacturer", "t", "k"]).groupBy("manufacturer", "printed_ref", "item_ref").agg(F.min("rank").alias("rank"))
+    # a merge: the sizes that plans go by don't know how many keys a row gives, so that all of own could be broadcast
+    met = asked.join(own.hint("merge"), ["manufacturer", "t", "k"]).groupBy("manufacturer", "printed_ref", "item_ref").agg(F.min("rank").alias("rank"))
     return met.select("manufacturer", "printed_ref", "item_ref", F.element_at(F.array(*map(F.lit, KINDS)), F.col("rank") + 1).alias("kind"))
 
 

@@ -38,3 +38,25 @@ def test_documents_without_certificate_go_to_all_tasks(spark, plain_shuffles, se
     seeded(document=("doc_id long, type string, regulation string, validity_from date, validity_to date, cert_doc_id long, status string", docs))
     held = spark.sql(spark_sql("SELECT * FROM expiry")).groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in held) == 2000 and max(r["count"] for r in held) < 1000
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _broadcast_generates(plan):
+    """Whether something below a broadcast is exploded."""
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            depth = line.index("BroadcastExchange")
+            for below in lines[i + 1 :]:
+                if len(below) - len(below.lstrip(" :+-")) <= depth:
+                    break
+                if "Generate " in below:
+                    return True
+    return False
+
+
+def test_near_matches_broadcast_no_exploded_rows(spark):
+    assert not _broadcast_generates(_plan(registry.QUERIES["r12_near_matches"](spark, SF)))
