@@ -68,12 +68,15 @@ def search_items(items: DataFrame, asks: DataFrame, *, cap: int = CAP, nearby: i
     in any case, those that begin with it first (score 2, else 1). Where no number does and the text has a letter,
     mode "search": names with at least `threshold`, the closest first, then those whose whole name is closer. "nearby": the
     numbers around those that begin with the text, or around the only one that holds it. A text without letter or digit finds
-    nothing; null texts, names and numbers neither.
+    nothing; null texts, names and numbers neither. ask_id is a key. Asks for the same text of a manufacturer are answered once.
+
+    Rows that were exploded are merged, not broadcast: the sizes that plans go by are those from before.
     """
-    asks = asks.select("ask_id", "manufacturer", F.trim("q").alias("q")).where(F.col("q").rlike(r"[\p{L}\p{N}]"))
+    asked_by = asks.select("ask_id", "manufacturer", F.trim("q").alias("q")).where(F.col("q").rlike(r"[\p{L}\p{N}]")).select(F.struct("manufacturer", "q").alias("ask"), "ask_id")
+    asks = asked_by.select("ask").distinct().select(F.col("ask").alias("ask_id"), "ask.manufacturer", "ask.q")
     own = items.select("manufacturer", "item_ref", "name").where(F.col("item_ref").isNotNull())
     # numbers: the text's rarest run of three characters, or all of a shorter text
-    runs = own.select("manufacturer", "item_ref", F.explode(_runs(F.col("item_ref"))).alias("run"))
+    runs = own.select("manufacturer", "item_ref", F.explode(_runs(F.col("item_ref"))).alias("run")).hint("merge")
     wanted = asks.select("ask_id", "manufacturer", "q", F.explode(F.filter(_runs(F.col("q")), lambda r: F.length(r) == F.least(F.lit(3), F.length("q")))).alias("run"))
     common = runs.join(wanted.select("manufacturer", "run").distinct(), ["manufacturer", "run"], "left_semi").groupBy("manufacturer", "run").agg(F.count("*").alias("n"))
     keys = wanted.join(common, ["manufacturer", "run"], "left").groupBy("ask_id", "manufacturer", "q").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "run")).alias("x")).select("ask_id", "manufacturer", "q", F.col("x.run").alias("run"))
@@ -96,7 +99,7 @@ def search_items(items: DataFrame, asks: DataFrame, *, cap: int = CAP, nearby: i
     # names: a name that reaches the threshold has that share of the text's trigrams, so one of the rarest of them
     open_ = asks.join(numbers.select("ask_id").distinct(), "ask_id", "left_anti").where(F.col("q").rlike(r"\p{L}"))
     both = F.array_union(trigrams(F.col("name")), trigrams(F.regexp_replace("name", r"[^\p{L}\p{N}\s]", "")))
-    grams = own.where(F.col("name").isNotNull()).select("manufacturer", "item_ref", "name", F.explode(both).alias("gram"))
+    grams = own.where(F.col("name").isNotNull()).select("manufacturer", "item_ref", "name", F.explode(both).alias("gram")).hint("merge")
     asked = open_.withColumn("own", trigrams(F.col("q"))).select("ask_id", "manufacturer", "q", F.size("own").alias("size"), F.explode("own").alias("gram"))
     common = grams.join(asked.select("manufacturer", "gram").distinct(), ["manufacturer", "gram"], "left_semi").groupBy("manufacturer", "gram").agg(F.count("*").alias("n"))
     told = asked.join(common, ["manufacturer", "gram"], "left").groupBy("ask_id", "manufacturer", "q", "size").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))).alias("grams"))
@@ -110,7 +113,8 @@ def search_items(items: DataFrame, asks: DataFrame, *, cap: int = CAP, nearby: i
     pairs = cut(pairs).repartition(2 * shuffle_width(items.sparkSession)).select("q", "name", name_score(F.col("q"), F.col("name")).alias("score"), F.coalesce(trigram_similarity(F.col("q"), F.col("name")), F.lit(0.0)).alias("whole"))
     scored = maybe.join(pairs.where(F.col("score") >= threshold), ["q", "name"])
     by_name = _ranked(scored, cap, F.desc("score"), F.desc("whole"), F.col("item_ref")).select("ask_id", F.lit("search").alias("mode"), "rank", "item_ref", "score", "total")
-    return by_number.unionByName(by_name).unionByName(beside)
+    found = by_number.unionByName(by_name).unionByName(beside).withColumnRenamed("ask_id", "ask")
+    return found.join(asked_by, "ask").select("ask_id", "mode", "rank", "item_ref", "score", "total")
 
 
 def similar_items(items: DataFrame, asks: DataFrame, *, cap: int = CAP, threshold: float = LIKE_NAME) -> DataFrame:

@@ -60,3 +60,16 @@ def _broadcast_generates(plan):
 
 def test_near_matches_broadcast_no_exploded_rows(spark):
     assert not _broadcast_generates(_plan(registry.QUERIES["r12_near_matches"](spark, SF)))
+
+
+def test_same_asks_are_answered_once(spark, monkeypatch):
+    from ledgerlight.operators import picker
+
+    sizes = []
+    cut = picker.cut
+    monkeypatch.setattr(picker, "cut", lambda df: (sizes.append(df.count()), cut(df))[1])
+    items = spark.createDataFrame([("m", f"V{n:04d}", f"VARIOBASE {n}") for n in range(30)], "manufacturer string, item_ref string, name string")
+    asks = spark.createDataFrame([(i, "m", ("V000", "variobase ")[i % 2]) for i in range(40)], "ask_id int, manufacturer string, q string")
+    rows = picker.search_items(items, asks, nearby=1).collect()
+    assert len(rows) == 20 * (10 + 1) + 20 * 30 and {r["total"] for r in rows if r["mode"] != "nearby"} == {10, 30}
+    assert max(sizes) <= 30
