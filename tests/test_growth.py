@@ -73,3 +73,29 @@ def test_same_asks_are_answered_once(spark, monkeypatch):
     rows = picker.search_items(items, asks, nearby=1).collect()
     assert len(rows) == 20 * (10 + 1) + 20 * 30 and {r["total"] for r in rows if r["mode"] != "nearby"} == {10, 30}
     assert max(sizes) <= 30
+
+
+def test_names_of_many_items_are_compared_once(spark, monkeypatch):
+    from ledgerlight.operators import resolve as module
+
+    seen = []
+    ratio = module.ratio_column
+
+    def counted(kind, a, b):
+        seen.append(spark.sparkContext.accumulator(0))
+        total = seen[-1]
+
+        @F.udf("string")
+        def count(x):
+            total.add(1)
+            return x
+
+        return ratio(kind, count(a), b)
+
+    monkeypatch.setattr(module, "ratio_column", counted)
+    kinds = "item_ref string, manufacturer string, name string, udi string"
+    items = spark.createDataFrame([(f"i{n}", "m", "large ring" if n % 2 else "small bolt", None) for n in range(60)], kinds)
+    members = spark.createDataFrame([(n % 5, f"m{n}", "m", "large ring" if n % 2 else "small bolts", None) for n in range(20)], f"group_id long, {kinds}")
+    got = {r["item_ref"]: (r["group_id"], r["rung"], r["score"]) for r in module.resolve(items, members).collect()}
+    assert {v for k, v in got.items() if int(k[1:]) % 2} == {(0, "name", 1.0)} and len(got) == 60
+    assert seen[0].value <= 8
