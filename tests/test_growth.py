@@ -99,3 +99,20 @@ def test_names_of_many_items_are_compared_once(spark, monkeypatch):
     got = {r["item_ref"]: (r["group_id"], r["rung"], r["score"]) for r in module.resolve(items, members).collect()}
     assert {v for k, v in got.items() if int(k[1:]) % 2} == {(0, "name", 1.0)} and len(got) == 60
     assert seen[0].value <= 8
+
+
+def test_near_misses_are_met_by_keys(spark):
+    plan = _plan(registry.QUERIES["v11_certificate_near_miss"](spark, SF))
+    [join] = [x for x in plan.splitlines() if "SortMergeJoin" in x and "srn" in x]
+    assert "k#" in join.split("], [")[0]
+
+
+def test_near_misses_of_all_kinds(spark, seeded):
+    held = ["SX 1", "SX 2", "HZ 3", "HZ 4", "SX 5", "SX 6"]
+    seeded(
+        held_certificate=("doc_id long, manufacturer string, base_number string", [(i, "M", n) for i, n in enumerate(held)]),
+        trusted_actor=("canonical_name string, srn string", [("M", "s")]),
+        register_certificate=("row_id string, actor_srn string, certificate_number string", [("r", s, n) for s, n in [("s", "SX 1A"), ("s", "HZ 2"), ("s", "SX 3"), ("s", "HZ 4"), ("t", "SX 5A"), ("s", "SX 6"), ("s", None)]]),
+    )
+    got = {tuple(r) for r in registry.QUERIES["v11_certificate_near_miss"](spark, SF).collect()}
+    assert got == {(0, "SX 1", "SX 1A", "trailing-letter"), (1, "SX 2", "HZ 2", "prefix"), (2, "HZ 3", "SX 3", "prefix")}
