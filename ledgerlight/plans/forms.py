@@ -9,4 +9,9 @@ WITH h AS (SELECT h.doc_id, h.base_number, a.srn, @explode(@array('=' || h.base_
 r AS (SELECT actor_srn, certificate_number, @explode(@array('=' || certificate_number, '~' || @replace_all(certificate_number, '^SX', 'HZ'))) AS k FROM register_certificate)
 SELECT /*+ MERGE(r) */ DISTINCT h.doc_id, h.base_number, r.certificate_number, CASE WHEN h.base_number || 'A' = r.certificate_number THEN 'trailing-letter' ELSE 'prefix' END AS rule
 FROM h JOIN r ON r.actor_srn = h.srn AND r.k = h.k WHERE h.base_number <> r.certificate_number""",
+    # items are counted once a manufacturer, not once a document
+    "g07_manufacturer_binding": """
+WITH n AS (SELECT manufacturer_raw, count(item_ref) AS n FROM item WHERE md_flag GROUP BY 1)
+SELECT d.doc_id, CASE WHEN a.canonical_name IS NULL THEN 'filed' WHEN coalesce(sum(n.n), 0) = 0 THEN 'staged' ELSE 'bound' END AS outcome, CAST(coalesce(sum(n.n), 0) AS BIGINT) AS items
+FROM document d LEFT JOIN alias a ON a.raw_name = d.manufacturer LEFT JOIN n ON n.manufacturer_raw = a.raw_name WHERE d.coverage_scope = 'manufacturer' AND d.type = 'EC' GROUP BY d.doc_id, a.canonical_name""",
 }

@@ -116,3 +116,8 @@ def test_near_misses_of_all_kinds(spark, seeded):
     )
     got = {tuple(r) for r in registry.QUERIES["v11_certificate_near_miss"](spark, SF).collect()}
     assert got == {(0, "SX 1", "SX 1A", "trailing-letter"), (1, "SX 2", "HZ 2", "prefix"), (2, "HZ 3", "SX 3", "prefix")}
+
+
+def test_binding_counts_items_before_the_join(spark):
+    plan = registry.QUERIES["g07_manufacturer_binding"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len([x for x in plan.splitlines() if x.lstrip(" :+-").startswith("Aggregate")]) == 3  # of the aliases, of the items, of the documents
