@@ -121,3 +121,13 @@ def test_near_misses_of_all_kinds(spark, seeded):
 def test_binding_counts_items_before_the_join(spark):
     plan = registry.QUERIES["g07_manufacturer_binding"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert len([x for x in plan.splitlines() if x.lstrip(" :+-").startswith("Aggregate")]) == 3  # of the aliases, of the items, of the documents
+
+
+def test_pairs_of_references_are_not_made_distinct(spark, seeded):
+    seeded(
+        item=("item_ref string, mfr_ref string", [("P1", "a"), ("P1", "a.K1"), ("P1", "a"), ("P2", "a.K1"), ("P3", None)]),
+        register_device=("udi_di string, reference string", [("U1", "a.K1"), ("U1", "a.K1"), ("U2", "a"), ("U3", None)]),
+    )
+    df = registry.QUERIES["j08_theta_as_union"](spark, SF)
+    assert sorted(map(tuple, df.collect())) == [("P1", "U1"), ("P1", "U2"), ("P2", "U1")]
+    assert "Aggregate" not in _plan(df).split("Join")[0]
