@@ -39,7 +39,7 @@ def _folded(text: Column) -> Column:
     return F.translate(F.lower(F.translate(text, "İ", "I")), ACCENTED, PLAIN)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body of a value that is made once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -95,12 +95,12 @@ def labelled_dates(text: Column, until_labels: Column | None = None, from_labels
     def signed(text: Column) -> Column:
         line = lambda x: F.when(x["value"].isNotNull(), x)
         made = lambda x: F.struct(parse_printed_date(F.regexp_extract(x, PLACE_AND_DATE, 1)).alias("value"), F.lit(SIGNED).alias("conf"), F.trim(x).alias("verbatim"))
-        return _let(F.regexp_extract(text, PLACE_AND_DATE, 0), lambda x: _let(made(x), line))
+        return let(F.regexp_extract(text, PLACE_AND_DATE, 0), lambda x: let(made(x), line))
 
     def joined(x: Column) -> Column:
         since = F.coalesce(x["since"], signed(text))
         lost = lambda refused, got, name: F.when(F.coalesce(refused, F.lit(False)) & got, F.lit(name))
-        return _let(
+        return let(
             F.struct(x["until"].alias("until"), since.alias("since"), x["until_refused"], x["since_refused"]),
             lambda y: F.struct(
                 y["until"].alias("validity_to"), y["since"].alias("validity_from"),
@@ -110,7 +110,7 @@ def labelled_dates(text: Column, until_labels: Column | None = None, from_labels
 
     # lambdas bind what is used more than once, so that it is made once for a text
     bound = F.struct(text.alias("text"), _folded(text).alias("low"), both[0].alias("until"), both[1].alias("since"))
-    return _let(_let(bound, found), joined).cast(DATES)
+    return let(let(bound, found), joined).cast(DATES)
 
 
 # ---- lists of references

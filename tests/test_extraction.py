@@ -283,6 +283,7 @@ def test_prose_behind_a_passage_lists_no_classes(spark, tmp_path):
 
 #: Prose that says by chance what only a passage shall say, or is so short that a quote contains it.
 CHANCE = {
+    "x05_certificate_number": ["No. De que la los.", "Und so.\nNo. Esa de la\nfin", "Te cert. no ABCD12 z"],
     "x15_settled": ["A.", "At d", "Item.", "de ñref é"],
 }
 
