@@ -285,6 +285,7 @@ def test_prose_behind_a_passage_lists_no_classes(spark, tmp_path):
 CHANCE = {
     "x05_certificate_number": ["No. De que la los.", "Und so.\nNo. Esa de la\nfin", "Te cert. no ABCD12 z"],
     "x15_settled": ["A.", "At d", "Item.", "de ñref é"],
+    "x11_text_fields": ["No. De que la los.", "xx msds xx", "thid | re\n12 | B3\n", "Nombre, 1.2.2003\nde"],
 }
 
 
