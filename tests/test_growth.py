@@ -131,3 +131,17 @@ def test_pairs_of_references_are_not_made_distinct(spark, seeded):
     df = registry.QUERIES["j08_theta_as_union"](spark, SF)
     assert sorted(map(tuple, df.collect())) == [("P1", "U1"), ("P1", "U2"), ("P2", "U1")]
     assert "Aggregate" not in _plan(df).split("Join")[0]
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "v05_item_document_history", "v06_item_document_production", "q01_coverage", "q12_renewal_letters", "q17_items_board", "z08_expiry_scan", "q26_maker_completeness", "q36_item_fields", "a04_bool_or", "a05_distinct_array",
+        "a10_two_levels", "j02_left_outer", "j03_count_after_left", "j04_exists_in_filter", "j14_scalar_decorrelated", "q09_expiring_counts",
+    ],
+)
+def test_no_query_over_expiry_meets_by_a_bare_certificate(spark, plain_shuffles, name):
+    """Where documents without a certificate have a null key, all of them are one task."""
+    keys = [x for x in _plan(registry.QUERIES[name](spark, SF)).splitlines() if "hashpartitioning(" in x and "cert_doc_id#" in x]
+    assert all("hashpartitioning(coalesce(cert_doc_id#" in x for x in keys)
+    assert keys or "cert_doc_id#" not in _plan(registry.QUERIES[name](spark, SF))
