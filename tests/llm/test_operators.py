@@ -417,6 +417,11 @@ def test_line_dedup_of_very_long_lines(spark):
     assert [r["n_removed"] for r in line_dedup.dedup_lines(df, counts=True).orderBy("doc_id").collect()] == [0, 1, 0]
 
 
+def test_line_dedup_makes_keys_without_a_shuffle(spark):
+    docs = spark.createDataFrame([(1, "one line of words")], "doc_id long, text string")
+    assert "Exchange" not in line_dedup._lines(docs, "doc_id", "text", 1)._jdf.queryExecution().executedPlan().toString()
+
+
 def altered(rng, line, kind, word):
     copy = list(line)
     if kind == "character":
