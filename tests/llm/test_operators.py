@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ledgerlight.llm import ann, decontaminate, langid, line_dedup, lm_score, mixing, ngram_join, suffix_dedup, token_count, url_filter
+from ledgerlight.llm._sieve import Sieve
 from ledgerlight.llm._trie import EliasFano, Trie
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n long, id string, bucket long"
@@ -457,6 +458,40 @@ def test_line_dedup_finds_similar_lines(spark):
     assert one >= 0.85 * both, found
 
 
+def test_line_dedup_of_strangers_that_share_a_word(spark, monkeypatch):
+    """A bucket of many lines that have nothing else in common isn't compared line by line; near copies in it are found."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    lines = []
+    for _ in range(80):
+        words = [word() for _ in range(12)]
+        words.insert(rng.randrange(4, 13), "commonplacement")
+        lines.append(words)
+    lines += [[w if i != 3 else word() for i, w in enumerate(x)] for x in lines[:10]]
+    rows, seen, similar = [(d, " ".join(x)) for d, x in enumerate(lines)], [], line_dedup._similar
+    monkeypatch.setattr(line_dedup, "_similar", lambda pairs, s: (seen.append(pairs.count()), similar(pairs, s))[1])
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d for d, t in out.items() if t == ""} == set(range(80, 90)) == {d for d, t in lines_gone(rows)[0]}
+    assert sum(seen) < 300
+
+
+def test_sieve(spark):
+    """Nothing of the set is lost, with bits enough or few; what is outside is the rest."""
+    rows = spark.range(20000).select("id", F.xxhash64("id").alias("hash")).cache()
+    for size, most in ((1 << 20, 1200), (1 << 10, 12000)):
+        held = Sieve(rows.where("id < 5000").select("hash"), 5000, size)
+        within, outside = ({r[0] for r in f(rows, F.col("hash")).select("id").collect()} for f in (held.within, held.outside))
+        assert set(range(5000)) <= within and len(within) < 5000 + most and within | outside == set(range(20000)) and not within & outside
+
+
+def test_line_dedup_shuffles_only_texts_that_lose_lines(spark):
+    """What no broadcast holds is joined without the texts that have nothing to lose."""
+    docs = spark.createDataFrame([(d, f"line of number {'abcdefgh'[d % 8]}{chr(97 + d // 8) * 9} alone\nshared line") if d < 2 else (d, chr(97 + d) * 40) for d in range(20)], "doc_id long, text string")
+    out = line_dedup.dedup_lines(docs, counts=True, max_broadcast=0)
+    assert out._jdf.queryExecution().analyzed().toString().count("Union") == 1
+    assert {r["doc_id"]: r["n_removed"] for r in out.collect()} == {d: int(d == 1) for d in range(20)}
+
+
 def test_line_dedup_finds_all_tiny_pairs(spark):
     forms = ["the", "thhe", "he", "home", "hone", "house", "mouse", "houses", "ab cdef", "ab cdf", "xyz", "xyzzy"]
     near = [(a, b) for i, a in enumerate(forms) for b in forms[i + 1 :] if 4 * edit_distance(a, b) <= max(len(a), len(b))]
