@@ -1,18 +1,19 @@
-"""Removal of repeated byte strings by a hash-compared suffix sort.
+"""Removal of repeated byte strings by anchored windows and hashes.
 
 A byte goes if a string of `length` bytes that covers it also starts earlier, in a document with a smaller id or
 further ahead in the same one. The strings (windows) are all suffixes cut to that length, so those that are equal
-stand together once suffixes are sorted. Sorting is spread out by content:
+are found among all that have the same anchor. The work is spread out by content:
 
 1. A window belongs to its anchor, the least hash of its `gram`-byte grams; equal windows have equal anchors at equal
    offsets. Documents are dealt out to blocks, by a shuffle that all steps use. Blocks ask shards, a few bytes for each distinct anchor, which anchors occur elsewhere too.
 2. Runs of consecutive windows of one repeated anchor go to the anchor's shard as one short string. Within a block
    equal strings go once: the first one, while later ones are thereby known to repeat. A passage that a third of all
    documents share costs one string for each block.
-3. A shard sets equal strings aside in the same way and merge-sorts the remaining windows of each anchor and offset
-   as suffixes of the joined text. Two suffixes are compared by their longest common extension, a binary search over
-   prefix polynomial hashes, and the byte after it. Neighbours that agree on `length` bytes are compared byte by byte,
-   so that a collision of hashes can't remove anything. All but the first of equal windows are told to their block.
+3. A shard sets equal strings aside in the same way. Of the others those are left whose half window before or behind the
+   anchor's place another string of the anchor has too, as every common window holds one of these halves; strings that have only the
+   anchor in common by chance, ever more in larger tables, end here. Windows of those left meet by hash within their anchor and offset and
+   are compared byte by byte, so that a collision of hashes can't remove anything; windows whose hashes collide are merge-sorted as suffixes of the joined text,
+   compared by their longest common extension, a binary search over prefix polynomial hashes. All but the first of equal windows are told to their block.
 4. Blocks mark the bytes and hash what is left.
 
 Edge cases: null and empty texts have 0 bytes; texts shorter than `length` are never touched; rows that share a
@@ -172,6 +173,41 @@ def first_of_equal(data: np.ndarray, hashes: np.ndarray, start: np.ndarray, size
     return out
 
 
+def _can_repeat(sums: np.ndarray, base: np.ndarray, size: np.ndarray, offset: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
+    """Whether a string can have a window in common with another one of its anchor: such a window has half of its bytes before the anchor's place or half of them from there on."""
+    half, at = length // 2, base + offset
+    out = np.zeros(len(base), bool)
+    for begin, there in ((at - half, offset >= half), (at, size - offset >= half)):
+        rows = np.flatnonzero(there)
+        key = B.mix(_spans_hash(sums, begin[rows], begin[rows] + half) ^ B.mix(group[rows].astype(np.uint64)))
+        order = np.argsort(key, kind="stable")
+        _, count = B.runs(key[order])
+        out[rows[order[np.repeat(count > 1, count)]]] = True
+    return out
+
+
+def equal_windows(data: np.ndarray, sums: np.ndarray, place: np.ndarray, bucket: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows at place that others of their bucket equal, byte by byte, and numbers that these share; bucket ascends."""
+    key = B.mix(_spans_hash(sums, place, place + length) ^ B.mix(bucket.astype(np.uint64)))
+    order = np.argsort(key, kind="stable")
+    first, count = B.runs(key[order])
+    several = np.repeat(count > 1, count)
+    which, cls = order[several], np.repeat(np.arange(len(first)), count)[several]
+    near = np.flatnonzero(cls[1:] == cls[:-1]) + 1
+    same = bucket[which[near]] == bucket[which[near - 1]]
+    same[same] = _equal_spans(data, place[which[near[same]]], place[which[near[same] - 1]], np.full(same.sum(), length))
+    if same.all():
+        return which, cls
+    # a collision: those that have this hash are sorted as suffixes
+    odd = np.isin(cls, cls[near[~same]])
+    rest = np.sort(which[odd])
+    rest = rest[suffix_sort(data, sums, place[rest], bucket[rest], length)]
+    equal = np.zeros(len(rest), bool)
+    equal[1:] = bucket[rest[1:]] == bucket[rest[:-1]]
+    equal[equal] = _equal_spans(data, place[rest[equal]], place[rest[np.flatnonzero(equal) - 1]], np.full(equal.sum(), length))
+    return np.concatenate([which[~odd], rest]), np.concatenate([cls[~odd], len(first) + np.cumsum(~equal)])
+
+
 def repeated_windows(data: np.ndarray, size: np.ndarray, anchor: np.ndarray, offset: np.ndarray, doc: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Step 3 for one shard: (string, first, last) ranges of windows that occur earlier.
 
@@ -194,6 +230,8 @@ def repeated_windows(data: np.ndarray, size: np.ndarray, anchor: np.ndarray, off
     several = np.repeat(count > 1, count)
     group = np.repeat(np.arange(len(first)), count)[several]
     order = order[several]
+    some = _can_repeat(sums, base[order], size[order], offset[order], group, length)
+    order, group = order[some], group[some]
     if len(order):
         n = windows[order]
         string = np.repeat(order, n)
@@ -204,15 +242,8 @@ def repeated_windows(data: np.ndarray, size: np.ndarray, anchor: np.ndarray, off
         runs_first, runs_count = B.runs(bucket)
         busy = np.repeat(runs_count > 1, runs_count)
         string, step, bucket = string[busy], step[busy], bucket[busy]
-        place = base[string] + step
-        order = suffix_sort(data, sums, place, bucket, length)
-        string, step, place = string[order], step[order], place[order]
-        same = np.zeros(len(place), bool)
-        near = np.flatnonzero(bucket[1:] == bucket[:-1]) + 1
-        match = common_extension(sums, place[near - 1], place[near], length) >= length
-        near = near[match]
-        same[near] = _equal_spans(data, place[near - 1], place[near], np.full(len(near), length))
-        cls = np.cumsum(~same)
+        which, cls = equal_windows(data, sums, base[string] + step, bucket, length)
+        string, step = string[which], step[which]
         d, s = doc[string], start[string] + step
         by_class = np.lexsort((s, d, cls))
         first, count = B.runs(cls[by_class])

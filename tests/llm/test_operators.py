@@ -267,6 +267,32 @@ def test_suffix_sort():
         assert cut == sorted(cut)
 
 
+def test_suffix_dedup_of_strings_that_share_an_anchor(monkeypatch):
+    """Windows are neither sorted nor made where strings have little more than their anchor in common; colliding hashes change nothing."""
+    rng = np.random.default_rng(5)
+    words = [rng.integers(97, 123, 160).astype(np.uint8) for _ in range(40)]
+    for w in words:
+        w[70:94] = words[0][70:94]
+    for k, (a, b) in enumerate(((0, 110), (30, 131), (55, 156), (60, 159), (69, 160))):
+        words[20 + k][a:b] = words[k][a:b]
+    data, size = np.concatenate(words), np.full(40, 160)
+    seen, want = {}, set()
+    for d, w in enumerate(words):
+        for i in range(61):
+            if seen.setdefault((i, w[i : i + 100].tobytes()), d) < d:
+                want.add((d, i))
+    sorts, sort = [], suffix_dedup.suffix_sort
+    monkeypatch.setattr(suffix_dedup, "suffix_sort", lambda data, sums, place, *rest: (sorts.append(len(place)), sort(data, sums, place, *rest))[1])
+
+    def found():
+        got = suffix_dedup.repeated_windows(data, size, np.full(40, 7, np.uint64), np.full(40, 70), np.arange(40), np.zeros(40, np.int64), 100)
+        return {(int(s), i) for s, a, b in zip(*got, strict=True) for i in range(a, b + 1)}
+
+    assert found() == want and {d for d, _ in want} == {20, 21, 22} and not sorts
+    monkeypatch.setattr(suffix_dedup, "_spans_hash", lambda sums, start, end: np.zeros(len(start), np.uint64))
+    assert found() == want and sorts
+
+
 def test_token_count(spark, docs, rows, empty):
     from tokenizers import Tokenizer, models
 
