@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlight.functions import claims, printed
+from ledgerlight.functions import claims, classify, printed
 from ledgerlight.functions.text import ratio
 from ledgerlight.operators.names import find_names, manufacturer_of
 
@@ -303,3 +303,32 @@ def test_prose_says_nothing_for_the_passage(spark, tmp_path, name):
     want = con.execute(extraction.ORACLES[name]).fetchall()
     got = [tuple(r) for r in extraction.QUERIES[name](spark, str(tmp_path)).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_readers_bind_what_they_use_more_than_once(spark):
+    """A text is searched once for each thing, whatever the parts of an answer: no reader's expression holds its searches several times."""
+    df = spark.createDataFrame([("x", ["x"])], "t string, p array<string>")
+    plan = lambda c: df.select(c.alias("c"))._jdf.queryExecution().analyzed().toString()
+    assert plan(classify.document_type(F.col("t"), F.lit("a"))).count("instr(") == 1
+    assert plan(classify.stated_class(F.col("t"))).count("regexp_extract_all(") == 1
+
+
+def test_readers_without_a_sign_of_what_they_look_for(spark):
+    """What a text lacks is found missing, and what it has in odd letters is found, by readers that look for signs first."""
+    rows = [
+        (1, None), (2, ""), (3, "nothing at all"), (4, "CLASS IIA"), (5, "Klaſse III"), (6, "Ref #\n A1 \nsignature"), (7, " REF # \n22\npage \n33"), (8, "CODES:\n1"), (9, "1234, 5678\n Codes :"), (10, "a | ref\nb | 77"),
+        (11, "Gültig bis: 2024-01-02"), (12, "GULTIG BIS: 2024-01-02"), (13, "İssue date: 2024-01-02"), (14, "Wien, 1. Mai 2023"), (15, "iso 13485, EC Certificate"),
+    ]
+    df = spark.createDataFrame(rows, "n int, t string")
+    dates = printed.labelled_dates(F.col("t"))
+    got = df.select(
+        "n", classify.stated_class(F.col("t"))["value"], F.array_join(printed.reference_list(F.array("t"))["codes"], ","), printed.reference_list(F.array("t"))["rung"],
+        dates["validity_to"]["value"].cast("string"), dates["validity_from"]["value"].cast("string"), classify.document_type(F.col("t"), F.lit("x"))["verbatim"],
+    )
+    got = {r[0]: tuple(r[1:]) for r in got.collect()}
+    none = (None,) * 6
+    want = {
+        4: ("IIa", *none[1:]), 6: (None, "A1", "text", None, None, None), 7: (None, "22,33", "text", None, None, None), 9: (None, "1234,5678", "labelled", None, None, None), 10: (None, "77", "table", None, None, None),
+        11: (None, None, None, "2024-01-02", None, None), 12: (None, None, None, "2024-01-02", None, None), 13: (None, None, None, None, "2024-01-02", None), 14: (None, None, None, None, "2023-05-01", None), 15: (*none[:5], "EC Certificate"),
+    }
+    assert got == {n: want.get(n, none) for n, _ in rows}
